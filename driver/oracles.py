@@ -140,9 +140,9 @@ FROM t WHERE k = 'meta_review'"""),
         "stitch_reply_text": threads("SELECT id, posted, own AS text FROM replies WHERE own <> ''"),
         "discover_rating_fields": threads("""
 SELECT f.field, count(*) AS n_reviews, min(f.position) AS position
-FROM t, (VALUES ('rating', 3), ('confidence', 4)) f(field, position) WHERE k = 'official_review' GROUP BY 1"""),
+FROM t, (VALUES ('rating', 0), ('confidence', 1)) f(field, position) WHERE k = 'official_review' GROUP BY 1"""),
         "sample_rating_fields": threads("""
-SELECT f.field, f.position FROM (VALUES ('rating', 3), ('confidence', 4)) f(field, position)
+SELECT f.field, f.position FROM (VALUES ('rating', 0), ('confidence', 1)) f(field, position)
 WHERE EXISTS (SELECT 1 FROM t WHERE k = 'official_review' AND conv_id = (SELECT min(conv_id) FROM roots))"""),
         "rating_audit": threads("""
 SELECT note_id, reviewer, field, CASE WHEN length(v) > 60 THEN left(v, 60) || '...' ELSE v END AS shown, field_class

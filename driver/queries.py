@@ -33,27 +33,28 @@ def _pairs(column: str) -> Column:
     return F.array_join(entries, ",")
 
 
-def _thread_replies(spark: SparkSession, d: str) -> DataFrame:
-    classified = classify(X.thread_notes(spark, d))
-    return P.replies_with_target(classified, H.resolve_targets(classified))
+def _thread(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    parts = plan.staged_parts(X.thread_notes(spark, d), OPTS)
+    return parts, plan.staged_replies(parts, OPTS)
 
 
 # ---- threads ----
 
 def reviews_with_rebuttals(spark, d):
-    table = plan.review_table(classify(X.thread_notes(spark, d)), THREAD_RATINGS, OPTS)
+    parts, replies = _thread(spark, d)
+    table = plan.review_table(parts, replies, THREAD_RATINGS, OPTS)
     return table.select("forum", "note_id", "reviewer", "full_text", _pairs("ratings").alias("ratings"),
                         "rebuttal_text")
 
 
 def general_response(spark, d):
-    return P.general_response(_thread_replies(spark, d)).select("forum", "general_response")
+    return P.general_response(_thread(spark, d)[1]).select("forum", "general_response")
 
 
 def resolve_target_review(spark, d):
-    classified = classify(X.thread_notes(spark, d))
-    replies = classified.where("is_reply").select(*H.FORUM, "id", "replyto")
-    return H.with_target(replies, H.resolve_targets(classified)).select("forum", "id", "replyto", "target")
+    parts = plan.staged_parts(X.thread_notes(spark, d), OPTS)
+    replies = parts.where("part = 'reply'").select(*H.FORUM, "id", "replyto")
+    return H.with_target(replies, H.resolve_targets(parts)).select("forum", "id", "replyto", "target")
 
 
 def reply_parent(spark, d):
@@ -84,31 +85,31 @@ def first_of_kind(spark, d):
 
 
 def stitch_review_text(spark, d):
-    return P.reviews(classify(X.thread_notes(spark, d)), []).select("note_id", "reviewer", "full_text")
+    return P.reviews(P.thread_parts(X.thread_notes(spark, d)), []).select("note_id", "reviewer", "full_text")
 
 
 def stitch_meta_text(spark, d):
-    notes = classify(X.thread_notes(spark, d)).where("kind = 'meta_review'")
-    return notes.select("id", T.handle(F.col("signature")).alias("handle"),
-                        T.meta_review_text(F.col("parsed")).alias("meta_review_text"))
+    metas = P.thread_parts(X.thread_notes(spark, d)).where("part = 'meta_review'")
+    return metas.select("id", T.handle(F.col("signature")).alias("handle"), F.col("text").alias("meta_review_text"))
 
 
 def stitch_reply_text(spark, d):
-    return P.author_replies(classify(X.thread_notes(spark, d))).select("id", "posted", "text")
+    return P.author_replies(P.thread_parts(X.thread_notes(spark, d))).select("id", "posted", "text")
 
 
 def discover_rating_fields(spark, d):
-    return D.rating_field_counts(classify(X.thread_notes(spark, d))).select("field", "n_reviews", "position")
+    return D.rating_field_counts(P.thread_parts(X.thread_notes(spark, d))).select("field", "n_reviews", "position")
 
 
 def sample_rating_fields(spark, d):
-    return D.sample_rating_fields(classify(X.thread_notes(spark, d))).select("field", "position")
+    notes = X.thread_notes(spark, d)
+    return D.sample_rating_fields(P.thread_parts(notes), P.submissions(notes, X.SITE)).select("field", "position")
 
 
 def rating_audit(spark, d):
-    classified = classify(X.thread_notes(spark, d))
-    fields = D.discover_rating_fields(classified, X.VENUE)
-    return D.rating_audit(classified, fields).select("note_id", "reviewer", "field", "shown", "field_class")
+    notes = X.thread_notes(spark, d)
+    fields = D.discover_rating_fields(P.thread_parts(notes), X.VENUE)
+    return D.rating_audit(classify(notes), fields).select("note_id", "reviewer", "field", "shown", "field_class")
 
 
 def strip_quoted_text(spark, d):
@@ -127,7 +128,7 @@ def content_value(spark, d):
     parsed = X.event_contents(spark, d).select("event_id", C.parse(F.col("content")).alias("parsed"))
     return parsed.select(
         "event_id", C.content_value(p, "k").alias("k"), C.content_value(p, "t", "none").alias("t"),
-        C.content_value(p, "n", "none").alias("n"), C.truthy(C.raw_value(p, "k")).alias("k_truthy"),
+        C.content_value(p, "n", "none").alias("n"), C.truthy(p, "k").alias("k_truthy"),
         C.has_key(p, "n").alias("has_n"),
     )
 
@@ -135,8 +136,8 @@ def content_value(spark, d):
 # ---- papers ----
 
 def decision_and_meta(spark, d):
-    classified = classify(X.order_replies(spark, d))
-    both = P.decision_per_paper(classified).join(P.meta_per_paper(classified), H.FORUM, "full")
+    parts = P.thread_parts(X.order_replies(spark, d))
+    both = P.decision_per_paper(parts).join(P.meta_per_paper(parts), H.FORUM, "full")
     return both.select("forum", "decision", "meta_review_text", "meta_reviewer_handle")
 
 
@@ -173,13 +174,13 @@ def top_n_per_bucket(spark, d):
 
 
 def drop_reject_without_reviews(spark, d):
-    counts = P.review_counts(classify(X.order_replies(spark, d)))
+    counts = P.review_counts(P.thread_parts(X.order_replies(spark, d)))
     kept = B.first_bucket(B.drop_reject_without_reviews(_candidates(spark, d), counts))
     return kept.select("forum", "bucket", "n_reviews")
 
 
 def _order_papers(spark, d):
-    return plan.assemble(X.order_notes(spark, d), X.order_buckets(spark, d), X.ORDER_RATINGS, OPTS)
+    return plan.assemble(X.order_notes(spark, d), X.order_buckets(spark, d), OPTS, X.ORDER_RATINGS)
 
 
 def paper_rows(spark, d):
@@ -189,7 +190,7 @@ def paper_rows(spark, d):
 
 
 def long_reviews(spark, d):
-    rows = P.reviews(classify(X.order_replies(spark, d)), X.ORDER_RATINGS)
+    rows = P.reviews(P.thread_parts(X.order_replies(spark, d)), X.ORDER_RATINGS)
     return P.number_reviews(rows).select(
         "forum", "review_idx", "reviewer", "full_text", _pairs("ratings").alias("ratings"))
 

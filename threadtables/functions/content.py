@@ -1,7 +1,8 @@
 """Access to a note's content: a JSON object whose values are plain or wrapped as {"value": X}.
 
-`parse` turns the JSON text into a map of VARIANT once; every other function here takes that map. VARIANT
-keeps the JSON type of a value, which a map of strings loses (number 0 is skipped, the string "0" is kept).
+`parse` reads the JSON text once into a map of key -> (text, kind, truthy); every other function here takes that
+map. The values pass through VARIANT, which knows the JSON type that a map of strings loses: the number 0 counts
+as empty, the string "0" does not.
 """
 
 from __future__ import annotations
@@ -9,83 +10,117 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Text of the JSON values that count as empty, unless the value is a string.
+# Text of the JSON values other than strings that count as empty.
 _FALSY_TEXT = ["0", "0.0", "false", "[]", "{}"]
 
+_STRINGS = "array<string>"
 
-def parse(content: Column) -> Column:
+
+def parse_raw(content: Column) -> Column:
     """JSON text -> map<string, variant> in key order; NULL for anything but an object."""
     return F.from_json(content, "map<string,variant>")
 
 
-def _is_null(v: Column) -> Column:
-    return v.isNull() | F.is_variant_null(v)
+def _unwrapped(v: Column) -> Column:
+    value = F.coalesce(F.try_variant_get(v, "$.value", "variant"), v)
+    return F.when(~F.is_variant_null(v), value)
 
 
-def unwrap(v: Column) -> Column:
-    """X out of {"value": X}; any other value as it is."""
-    return F.coalesce(F.try_variant_get(v, "$.value", "variant"), v)
+def _typed(v: Column) -> Column:
+    return F.when(v.isNotNull(), F.struct(v.cast("string").alias("text"), F.schema_of_variant(v).alias("kind")))
 
 
-def raw_value(parsed: Column, key: str) -> Column:
-    """Unwrapped VARIANT of a key; NULL when the key is missing or null."""
-    v = F.try_element_at(parsed, F.lit(key))
-    return F.when(~_is_null(v), unwrap(v))
+def _entry(t: Column) -> Column:
+    text, kind = t["text"], t["kind"]
+    # whole floats keep their `.0`, booleans are capitalised
+    filled = F.coalesce(~text.isin(_FALSY_TEXT), F.lit(False))
+    whole_float = kind.startswith("DECIMAL") & kind.endswith(",0)")
 
+    def entry(shown: Column, truthy: Column) -> Column:
+        return F.struct(shown.alias("text"), kind.alias("kind"), truthy.alias("truthy"))
 
-def has_key(parsed: Column, key: str) -> Column:
-    return F.coalesce(F.map_contains_key(parsed, key), F.lit(False))
+    return (
+        F.when(kind == "STRING", entry(text, text != ""))
+        .when(whole_float, entry(F.concat(text, F.lit(".0")), filled))
+        .when(kind == "BOOLEAN", entry(F.initcap(text), filled))
+        .when(t.isNotNull(), entry(text, filled))
+    )
 
 
-def as_text(v: Column) -> Column:
-    """Text of a VARIANT: booleans capitalised, whole floats with their `.0`, NULL for null."""
-    text = v.cast("string")
-    kind = F.schema_of_variant(v)
-    whole_float = text.rlike("^-?[0-9]{1,18}$") & kind.startswith("DECIMAL")
-    boolean = text.isin("true", "false") & (kind == "BOOLEAN")
-    return F.when(whole_float, F.concat(text, F.lit(".0"))).when(boolean, F.initcap(text)).otherwise(text)
+def parse(content: Column) -> Column:
+    """JSON text -> map<string, struct<text,kind,truthy>> in key order; NULL for anything but an object.
 
+    A null value has a NULL entry; {"value": null} has an entry with NULL text.
+    """
+    # one pass per step, so that no step repeats the expression before it
+    values = F.transform_values(parse_raw(content), lambda _, v: _unwrapped(v))
+    typed = F.transform_values(values, lambda _, v: _typed(v))
+    return F.transform_values(typed, lambda _, t: _entry(t))
 
-def truthy(v: Column) -> Column:
-    """False for missing, null, "", 0, false, [] and {}; never NULL."""
-    text = v.cast("string")
-    empty = (text == "") | (text.isin(_FALSY_TEXT) & (F.schema_of_variant(v) != "STRING"))
-    return F.coalesce(~empty, F.lit(False))
+
+def entry(parsed: Column, key: str) -> Column:
+    return F.try_element_at(parsed, F.lit(key))
+
+
+def has_key(parsed: Column, key: str) -> Column:
+    return F.coalesce(F.map_contains_key(parsed, key), F.lit(False))
 
 
 def content_value(parsed: Column, key: str, default: str | None = "") -> Column:
     """Text of a key. A missing or null key gives the default; {"value": null} gives NULL."""
-    v = F.try_element_at(parsed, F.lit(key))
-    return F.when(_is_null(v), F.lit(default)).otherwise(as_text(unwrap(v)))
+    e = entry(parsed, key)
+    return F.when(e.isNull(), F.lit(default)).otherwise(e["text"])
+
+
+def truthy(parsed: Column, key: str) -> Column:
+    """False for missing, null, "", 0, false, [] and {}; never NULL."""
+    return F.coalesce(entry(parsed, key)["truthy"], F.lit(False))
 
 
 def truthy_text(parsed: Column, key: str) -> Column:
     """Text of a key, NULL when it is falsy: ready for concat_ws, which skips NULL."""
-    v = raw_value(parsed, key)
-    return F.when(truthy(v), as_text(v))
+    e = entry(parsed, key)
+    return F.when(e["truthy"], e["text"])
 
 
 def any_truthy(parsed: Column, keys: list[str]) -> Column:
-    result = F.lit(False)
-    for key in keys:
-        result = result | truthy(raw_value(parsed, key))
-    return result
+    listed = F.array(*[F.lit(k) for k in keys])
+    return F.exists(listed, lambda k: F.coalesce(F.try_element_at(parsed, k)["truthy"], F.lit(False)))
+
+
+def truthy_blocks(parsed: Column, labels: dict[str, str], separator: str) -> Column:
+    """The truthy texts of the given keys in order, each after its label, joined by the separator."""
+    # one expression over a constant list: sixteen written out would make a method too large to be compiled
+    listed = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("label")) for k, v in labels.items()])
+
+    def block(f: Column) -> Column:
+        e = F.try_element_at(parsed, f["key"])
+        return F.when(e["truthy"], F.concat(f["label"], e["text"]))
+
+    return F.array_join(F.transform(listed, block), separator)
+
+
+def _list(e: Column) -> Column:
+    return F.when(e["kind"].startswith("ARRAY"), F.from_json(e["text"], _STRINGS))
 
 
 def string_list(parsed: Column, key: str) -> Column:
     """array<string> of a list value, empty when it is missing or not a list."""
-    v = raw_value(parsed, key)
-    return F.coalesce(F.try_variant_get(v, "$", "array<string>"), F.array().cast("array<string>"))
+    return F.coalesce(_list(entry(parsed, key)), F.array().cast(_STRINGS))
 
 
 def list_or_text(parsed: Column, key: str, separator: str = ", ") -> Column:
     """A list joined with the separator; a plain value as text."""
-    v = raw_value(parsed, key)
-    joined = F.array_join(F.try_variant_get(v, "$", "array<string>"), separator)
-    return F.coalesce(joined, content_value(parsed, key))
+    return F.coalesce(F.array_join(_list(entry(parsed, key)), separator), content_value(parsed, key))
+
+
+def values_except(parsed: Column, keys: list[str]) -> Column:
+    """map<string,string> of the texts of all other keys, '' for null."""
+    rest = F.map_filter(parsed, lambda k, _: ~k.isin(keys))
+    return F.transform_values(rest, lambda _, e: F.coalesce(e["text"], F.lit("")))
 
 
-def ratings(parsed: Column, fields: list[str]) -> Column:
-    """map<string,string> of the given fields; '' for a missing one."""
-    pairs = [c for f in fields for c in (F.lit(f), F.coalesce(content_value(parsed, f), F.lit("")))]
-    return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
+def pick(values: Column, keys: list[str]) -> Column:
+    """The given keys of a map<string,string> in the given order; '' for a missing one."""
+    listed = F.array(*[F.lit(k) for k in keys]).cast(_STRINGS)
+    return F.map_from_arrays(listed, F.transform(listed, lambda k: F.coalesce(F.try_element_at(values, k), F.lit(""))))

@@ -36,8 +36,7 @@ def strip(text: Column) -> Column:
 
 
 def _labelled(parsed: Column, fields: list[str]) -> Column:
-    blocks = [F.concat(F.lit(FL.label(f) + ":\n"), C.truthy_text(parsed, f)) for f in fields]
-    return F.concat_ws(FL.BLOCK_SEPARATOR, *blocks)
+    return C.truthy_blocks(parsed, {f: FL.label(f) + ":\n" for f in fields}, FL.BLOCK_SEPARATOR)
 
 
 def review_text(parsed: Column, fields: list[str] = FL.REVIEW_TEXT_FIELDS) -> Column:
@@ -55,7 +54,7 @@ def strip_quoted_text(text: Column) -> Column:
 
 
 def reply_text(parsed: Column, fields: list[str] = FL.REPLY_TEXT_FIELDS) -> Column:
-    return strip_quoted_text(F.concat_ws(FL.BLOCK_SEPARATOR, *[C.truthy_text(parsed, f) for f in fields]))
+    return strip_quoted_text(C.truthy_blocks(parsed, {f: "" for f in fields}, FL.BLOCK_SEPARATOR))
 
 
 def forum_url(forum: Column, site: str) -> Column:

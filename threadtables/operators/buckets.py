@@ -24,9 +24,10 @@ def buckets_from_groups(groups: DataFrame) -> DataFrame:
 
     The heading map must be wrapped: a plain object gives no buckets. The rejected venue id may be either.
     """
-    parsed = groups.select("venue_id", C.parse(F.col("content")).alias("parsed"))
-    wrapped = F.try_variant_get(F.try_element_at("parsed", F.lit("decision_heading_map")), "$.value", "variant")
-    headings = F.from_json(F.to_json(wrapped), "map<string,string>")
+    content = F.col("content")
+    parsed = groups.select("venue_id", C.parse(content).alias("parsed"), C.parse_raw(content).alias("raw"))
+    wrapped = F.try_variant_get(F.try_element_at("raw", F.lit("decision_heading_map")), "$.value", "map<string,string>")
+    headings = wrapped
     return parsed.select(
         "venue_id",
         F.nullif(C.content_value(F.col("parsed"), "rejected_venue_id"), F.lit("")).alias("rejected_venueid"),

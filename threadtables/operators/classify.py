@@ -11,6 +11,7 @@ from threadtables.functions import text as T
 
 DECISION, META_REVIEW, REVIEW = "decision", "meta_review", "official_review"
 SUBMISSION, OTHER = "submission", "other"
+REPLY = "reply"
 
 # How signatures and invitations mark the kinds.
 REVIEWER_MARK = "/Reviewer_"
@@ -93,6 +94,6 @@ def in_venue(venueid: Column, venue_id: Column) -> Column:
 def matching_keys(df: DataFrame, parsed: Column,
                   parts: tuple[str, ...] = ("venue", "decision", "submission")) -> DataFrame:
     """One row per content key whose name holds one of the parts, with the value's text."""
-    keys = df.select("*", F.explode(parsed).alias("key", "raw"))
+    keys = df.select("*", F.explode(parsed).alias("key", "entry"))
     wanted = F.lower("key").rlike("|".join(parts))
-    return keys.where(wanted).withColumn("value", C.as_text(C.unwrap(F.col("raw")))).drop("raw")
+    return keys.where(wanted).withColumn("value", F.col("entry.text")).drop("entry")

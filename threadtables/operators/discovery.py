@@ -19,42 +19,39 @@ def field_class(key: Column, rating_fields: list[str], text_fields: list[str] =
     return F.when(key.isin(rating_fields), "rating").when(key.isin(text_fields), "text").otherwise("housekeeping")
 
 
-def rating_field_counts(classified: DataFrame, text_fields: list[str] = FL.REVIEW_TEXT_FIELDS,
-                        housekeeping: list[str] = FL.HOUSEKEEPING_FIELDS) -> DataFrame:
-    """Every rating-like key of all reviews: reviews that have it, and its earliest place among the keys."""
-    keys = classified.where(F.col("kind") == REVIEW).select(
-        "venue_id", F.posexplode(F.map_keys("parsed")).alias("position", "field")
+def rating_field_counts(parts: DataFrame) -> DataFrame:
+    """Every rating-like key of all reviews: reviews that have it, and its earliest place among them."""
+    keys = parts.where(F.col("part") == REVIEW).select(
+        "venue_id", F.posexplode(F.map_keys("scores")).alias("position", "field")
     )
-    return keys.where(~F.col("field").isin(text_fields + housekeeping)).groupBy("venue_id", "field").agg(
+    return keys.groupBy("venue_id", "field").agg(
         F.count(F.lit(1)).alias("n_reviews"), F.min("position").alias("position")
     )
 
 
-def sample_rating_fields(classified: DataFrame, text_fields: list[str] = FL.REVIEW_TEXT_FIELDS,
-                         housekeeping: list[str] = FL.HOUSEKEEPING_FIELDS) -> DataFrame:
+def sample_rating_fields(parts: DataFrame, submissions: DataFrame) -> DataFrame:
     """Rating-like keys of one review: the first one of the first submission whose venue id is the venue itself."""
-    venueid = C.content_value(F.col("parsed"), "venueid")
-    sample = classified.where((F.col("id") == F.col("forum")) & (venueid == F.col("venue_id"))).groupBy("venue_id").agg(
+    sample = submissions.where(F.col("venueid") == F.col("venue_id")).groupBy("venue_id").agg(
         F.min_by("forum", F.struct("number", "forum")).alias("forum")
     )
     first = (
-        classified.where(F.col("kind") == REVIEW).join(sample, FORUM, "left_semi")
-        .groupBy("venue_id").agg(F.min_by(F.map_keys("parsed"), F.struct("seq", "id")).alias("keys"))
+        parts.where(F.col("part") == REVIEW).join(sample, FORUM, "left_semi")
+        .groupBy("venue_id").agg(F.min_by(F.map_keys("scores"), F.struct("seq", "id")).alias("keys"))
     )
-    fields = first.select("venue_id", F.posexplode("keys").alias("position", "field"))
-    return fields.where(~F.col("field").isin(text_fields + housekeeping))
+    return first.select("venue_id", F.posexplode("keys").alias("position", "field"))
 
 
-def discover_rating_fields(classified: DataFrame, venue_id: str, mode: str = "all",
+def discover_rating_fields(parts: DataFrame, venue_id: str, submissions: DataFrame | None = None,
                            default: list[str] = FL.DEFAULT_RATING_FIELDS) -> list[str]:
     """Rating fields of a venue as a list, in key order; the defaults when no review shows any.
 
-    `all` looks at every review, `sample` at one.
+    All reviews are looked at; with `submissions`, only the sample review of that venue.
     """
-    if mode not in ("all", "sample"):
-        raise ValueError(f"unknown mode {mode!r}")
-    one_venue = classified.where(F.col("venue_id") == venue_id)
-    found = rating_field_counts(one_venue) if mode == "all" else sample_rating_fields(one_venue)
+    mine = parts.where(F.col("venue_id") == venue_id)
+    if submissions is None:
+        found = rating_field_counts(mine)
+    else:
+        found = sample_rating_fields(mine, submissions.where(F.col("venue_id") == venue_id))
     rows = found.orderBy("position", "field").select("field").take(MAX_RATING_FIELDS + 1)
     if len(rows) > MAX_RATING_FIELDS:
         raise ValueError(f"more than {MAX_RATING_FIELDS} rating fields; name the ones to keep")
@@ -65,10 +62,9 @@ def rating_audit(classified: DataFrame, rating_fields: list[str], length: int =
     """Every field of every review with its shortened value and its class."""
     fields = classified.where(F.col("kind") == REVIEW).select(
         *FORUM, F.col("id").alias("note_id"), T.handle(F.col("signature")).alias("reviewer"),
-        F.explode("parsed").alias("field", "raw"),
+        F.explode("parsed").alias("field", "entry"),
     )
-    missing = F.col("raw").isNull() | F.is_variant_null("raw")
-    shown = F.when(missing, "").otherwise(F.coalesce(C.as_text(C.unwrap(F.col("raw"))), F.lit("None")))
+    shown = F.when(F.col("entry").isNull(), "").otherwise(F.coalesce("entry.text", F.lit("None")))
     return fields.select(
         *FORUM, "note_id", "reviewer", "field", T.shortened(shown, length).alias("shown"),
         field_class(F.col("field"), rating_fields).alias("field_class"),
@@ -104,7 +100,7 @@ def first_of_kind(classified: DataFrame, order: list[str]) -> DataFrame:
 
 def key_census(objects: DataFrame, content: str, example_length: int = 300) -> DataFrame:
     """Keys of a column of JSON objects: how many rows have each, and the smallest start of its JSON text."""
-    keys = objects.select(F.explode(C.parse(F.col(content))).alias("key", "value"))
+    keys = objects.select(F.explode(C.parse_raw(F.col(content))).alias("key", "value"))
     return keys.groupBy("key").agg(
         F.count(F.lit(1)).alias("rows"), F.min(F.left(F.to_json("value"), F.lit(example_length))).alias("example")
     )

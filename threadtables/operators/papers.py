@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from threadtables.functions import content as C
 from threadtables.functions import fields as FL
 from threadtables.functions import text as T
-from threadtables.operators.classify import DECISION, META_REVIEW, REVIEW
+from threadtables.operators.classify import DECISION, META_REVIEW, REPLY, REVIEW, classify
 from threadtables.operators.skew import HOT_ROWS, group_rank, join_texts
 from threadtables.operators.threads import FORUM, with_target
 
@@ -37,58 +37,72 @@ def submissions(notes: DataFrame, site: str) -> DataFrame:
     )
 
 
-def reviews(classified: DataFrame, rating_fields: list[str],
-            text_fields: list[str] = FL.REVIEW_TEXT_FIELDS) -> DataFrame:
+def thread_parts(notes: DataFrame, text_fields: list[str] = FL.REVIEW_TEXT_FIELDS,
+                 reply_fields: list[str] = FL.REPLY_TEXT_FIELDS, meta_keys: tuple[str, ...] = ("summary",),
+                 housekeeping: list[str] = FL.HOUSEKEEPING_FIELDS) -> DataFrame:
+    """Everything later steps need of a note, from one look at its content.
+
+    One row per note with its kind as `part`, the text that kind contributes, and for a review the values of all
+    keys that are neither prose nor housekeeping. An author reply has a second row with part `reply`.
+    """
+    parsed, kind = F.col("parsed"), F.col("kind")
+    text = (
+        F.when(kind == REVIEW, T.review_text(parsed, text_fields))
+        .when(kind == META_REVIEW, T.meta_review_text(parsed))
+        .when(kind == DECISION, C.truthy_text(parsed, "decision"))
+    )
+    scores = F.when(kind == REVIEW, C.values_except(parsed, text_fields + housekeeping))
+    own = F.struct(kind.alias("part"), text.alias("text"), scores.alias("scores"))
+    reply = F.when(F.col("is_reply"), F.struct(
+        F.lit(REPLY).alias("part"), T.reply_text(parsed, reply_fields).alias("text"),
+        F.lit(None).cast("map<string,string>").alias("scores")))
+    return classify(notes, meta_keys, reply_fields).select(
+        *FORUM, "id", "replyto", "cdate", "seq", "signature", F.inline(F.array_compact(F.array(own, reply)))
+    )
+
+
+def reviews(parts: DataFrame, rating_fields: list[str]) -> DataFrame:
     """One row per official review, not yet numbered."""
-    p = F.col("parsed")
-    return classified.where(F.col("kind") == REVIEW).select(
+    return parts.where(F.col("part") == REVIEW).select(
         *FORUM,
         F.col("id").alias("note_id"),
         "seq",
         T.handle(F.col("signature")).alias("reviewer"),
         F.col("signature").alias("reviewer_signature"),
-        T.review_text(p, text_fields).alias("full_text"),
-        C.ratings(p, rating_fields).alias("ratings"),
+        F.col("text").alias("full_text"),
+        C.pick(F.col("scores"), rating_fields).alias("ratings"),
     )
 
 
-def review_counts(classified: DataFrame) -> DataFrame:
-    return classified.where(F.col("kind") == REVIEW).groupBy(*FORUM).agg(F.count(F.lit(1)).alias("n_reviews"))
+def review_counts(parts: DataFrame) -> DataFrame:
+    return parts.where(F.col("part") == REVIEW).groupBy(*FORUM).agg(F.count(F.lit(1)).alias("n_reviews"))
 
 
-def decision_per_paper(classified: DataFrame) -> DataFrame:
+def decision_per_paper(parts: DataFrame) -> DataFrame:
     """The last decision note with a value."""
-    decision = C.truthy_text(F.col("parsed"), "decision")
-    found = classified.where(F.col("kind") == DECISION).select(*FORUM, "seq", "id", decision.alias("decision"))
-    return found.where("decision IS NOT NULL").groupBy(*FORUM).agg(
-        F.max_by("decision", F.struct("seq", "id")).alias("decision")
+    last = parts.where(F.col("part") == DECISION).groupBy(*FORUM).agg(
+        F.max_by("text", F.when(F.col("text").isNotNull(), F.struct("seq", "id"))).alias("decision")
     )
+    return last.where("decision IS NOT NULL")
 
 
-def meta_per_paper(classified: DataFrame) -> DataFrame:
+def meta_per_paper(parts: DataFrame) -> DataFrame:
     """Text and handle of the last meta review."""
-    meta = classified.where(F.col("kind") == META_REVIEW).select(
-        *FORUM, "seq", "id",
-        F.struct(
-            T.meta_review_text(F.col("parsed")).alias("meta_review_text"),
-            T.handle(F.col("signature")).alias("meta_reviewer_handle"),
-        ).alias("meta"),
-    )
-    last = meta.groupBy(*FORUM).agg(F.max_by("meta", F.struct("seq", "id")).alias("meta"))
+    meta = F.struct(F.col("text").alias("meta_review_text"), T.handle(F.col("signature")).alias("meta_reviewer_handle"))
+    last = parts.where(F.col("part") == META_REVIEW).groupBy(*FORUM).agg(
+        F.max_by(meta, F.struct("seq", "id")).alias("meta"))
     return last.select(*FORUM, "meta.*")
 
 
-def author_replies(classified: DataFrame, fields: list[str] = FL.REPLY_TEXT_FIELDS) -> DataFrame:
+def author_replies(parts: DataFrame) -> DataFrame:
     """Author replies with something left after quotes are stripped; `posted` is the posting time, 0 if unknown."""
-    text = T.reply_text(F.col("parsed"), fields)
-    return classified.where("is_reply").select(
-        *FORUM, "id", "seq", "replyto", F.coalesce("cdate", F.lit(0)).alias("posted"), text.alias("text")
-    ).where("text <> ''")
+    return parts.where((F.col("part") == REPLY) & (F.col("text") != "")).select(
+        *FORUM, "id", "seq", "replyto", F.coalesce("cdate", F.lit(0)).alias("posted"), "text"
+    )
 
 
-def replies_with_target(classified: DataFrame, targets: DataFrame,
-                        fields: list[str] = FL.REPLY_TEXT_FIELDS) -> DataFrame:
-    return with_target(author_replies(classified, fields), targets)
+def replies_with_target(parts: DataFrame, targets: DataFrame) -> DataFrame:
+    return with_target(author_replies(parts), targets)
 
 
 def merge_rebuttals(replies: DataFrame, separator: str = FL.REPLY_SEPARATOR, limit: int = HOT_ROWS) -> DataFrame:

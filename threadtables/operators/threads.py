@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadtables.functions import text as T
-from threadtables.operators.classify import REVIEW
+from threadtables.operators.classify import REPLY, REVIEW
 from threadtables.session import stage
 
 FORUM = ["venue_id", "forum"]
@@ -16,11 +16,11 @@ MAX_HOPS = 12
 HOPS_PER_ROUND = 4
 
 
-def _nodes(classified: DataFrame) -> DataFrame:
+def _nodes(parts: DataFrame) -> DataFrame:
     """One row per note id: what it answers (of the last copy) and whether it is a review."""
-    return classified.groupBy(*FORUM, F.col("id").alias("node")).agg(
+    return parts.where(F.col("part") != REPLY).groupBy(*FORUM, F.col("id").alias("node")).agg(
         F.max_by("replyto", F.struct("seq", "replyto")).alias("next"),
-        F.max(F.col("kind") == REVIEW).alias("node_is_review"),
+        F.max(F.col("part") == REVIEW).alias("node_is_review"),
     )
 
 
@@ -42,18 +42,20 @@ def _hop(frontier: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def resolve_targets(classified: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
+def resolve_targets(parts: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
     """(venue_id, forum, start, target): the review reached from `start`, the note an author reply answers.
 
     The walk follows distinct starts, not replies, so many answers to one note are one row here. It runs a few
     joins at a time and stops as soon as no chain is open; a missing parent, the hop limit or a cycle end a chain.
     """
-    nodes = _nodes(classified)
+    nodes = _nodes(parts)
     frontier = (
-        classified.where("is_reply AND replyto <> ''")
+        parts.where((F.col("part") == REPLY) & (F.col("replyto") != ""))
         .select(*FORUM, F.col("replyto").alias("start")).distinct()
         .select("*", F.lit(None).cast("string").alias("target"), F.col("start").alias("cur"))
     )
+    if frontier.isEmpty():
+        return frontier.select(*FORUM, "start", "target")
     resolved, left = [], max_hops
     while left > 0:
         for _ in range(min(left, HOPS_PER_ROUND)):

@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadtables.functions import fields as FL
-from threadtables.functions.content import parse
 from threadtables.operators import buckets as B
 from threadtables.operators import papers as P
-from threadtables.operators.classify import classify
+from threadtables.operators.discovery import discover_rating_fields
 from threadtables.operators.skew import HOT_ROWS
 from threadtables.operators.threads import FORUM, MAX_HOPS, resolve_targets
 from threadtables.session import stage
@@ -32,47 +31,41 @@ class Options:
     hot_rows: int = HOT_ROWS
 
 
-def staged_notes(notes: DataFrame, opts: Options) -> DataFrame:
-    """Classified notes that matter to the thread tables, written once.
+def thread_parts(notes: DataFrame, opts: Options) -> DataFrame:
+    return P.thread_parts(notes, list(opts.text_fields), list(opts.reply_fields), opts.meta_keys)
 
-    Only the scalar columns are written; the steps that need a note's content parse it from the text again, each
-    for its own kind of notes.
-    """
-    return stage(classify(notes, opts.meta_keys, list(opts.reply_fields)).drop("parsed"), "classified-notes")
+
+def staged_parts(notes: DataFrame, opts: Options) -> DataFrame:
+    """Thread parts written once, one folder per part: each later step reads its own rows and columns only."""
+    return stage(thread_parts(notes, opts), "thread-parts", "part")
 
 
-def with_parsed(staged: DataFrame) -> DataFrame:
-    return staged.withColumn("parsed", parse(F.col("content")))
+def staged_replies(parts: DataFrame, opts: Options) -> DataFrame:
+    """Author replies with the review each answers; both merges and their size checks read this table."""
+    return stage(P.replies_with_target(parts, resolve_targets(parts, opts.max_hops)), "replies")
 
 
-def review_table(classified: DataFrame, rating_fields: list[str], opts: Options,
-                 targets: DataFrame | None = None) -> DataFrame:
+def review_table(parts: DataFrame, replies: DataFrame, rating_fields: list[str], opts: Options) -> DataFrame:
     """Every official review with the authors' answer to it, not numbered."""
-    if targets is None:
-        targets = resolve_targets(classified, opts.max_hops)
-    replies = P.replies_with_target(classified, targets, list(opts.reply_fields))
     rebuttals = P.merge_rebuttals(replies, opts.separator, opts.hot_rows)
-    return P.attach_rebuttals(P.reviews(classified, rating_fields, list(opts.text_fields)), rebuttals)
+    return P.attach_rebuttals(P.reviews(parts, rating_fields), rebuttals)
 
 
-def chosen_submissions(notes: DataFrame, classified: DataFrame, buckets: DataFrame, opts: Options) -> DataFrame:
+def chosen_submissions(notes: DataFrame, parts: DataFrame, buckets: DataFrame, opts: Options) -> DataFrame:
     """Submissions with their bucket: matched, limited, rejects without reviews dropped, first bucket kept."""
     candidates = B.bucket_candidates(P.submissions(notes, opts.site), buckets)
     if opts.limit_per_bucket is not None:
         candidates = B.top_n_per_bucket(candidates, opts.limit_per_bucket)
-    return B.first_bucket(B.drop_reject_without_reviews(candidates, P.review_counts(classified)))
+    return B.first_bucket(B.drop_reject_without_reviews(candidates, P.review_counts(parts)))
 
 
-def paper_table(notes: DataFrame, classified: DataFrame, buckets: DataFrame, opts: Options,
-                targets: DataFrame | None = None) -> DataFrame:
+def paper_table(notes: DataFrame, parts: DataFrame, replies: DataFrame, buckets: DataFrame, opts: Options
+                ) -> DataFrame:
     """One row per chosen paper with decision, meta review and general response."""
-    if targets is None:
-        targets = resolve_targets(classified, opts.max_hops)
-    replies = P.replies_with_target(classified, targets, list(opts.reply_fields))
     papers = (
-        chosen_submissions(notes, classified, buckets, opts)
-        .join(P.decision_per_paper(classified), FORUM, "left")
-        .join(P.meta_per_paper(classified), FORUM, "left")
+        chosen_submissions(notes, parts, buckets, opts)
+        .join(P.decision_per_paper(parts), FORUM, "left")
+        .join(P.meta_per_paper(parts), FORUM, "left")
         .join(P.general_response(replies, opts.separator, opts.hot_rows), FORUM, "left")
     )
     text = {c: F.coalesce(c, F.lit("")) for c in ("meta_review_text", "meta_reviewer_handle", "general_response")}
@@ -83,13 +76,18 @@ def paper_table(notes: DataFrame, classified: DataFrame, buckets: DataFrame, opt
     )
 
 
-def assemble(notes: DataFrame, buckets: DataFrame, rating_fields: list[str], opts: Options
-             ) -> tuple[DataFrame, DataFrame]:
-    """(papers, reviews) of the chosen papers, from notes classified once and chains walked once."""
-    classified = with_parsed(staged_notes(notes, opts))
-    targets = resolve_targets(classified, opts.max_hops)
-    papers = stage(paper_table(notes, classified, buckets, opts, targets), "papers")
-    reviews = review_table(classified, rating_fields, opts, targets)
+def assemble(notes: DataFrame, buckets: DataFrame, opts: Options, rating_fields: list[str] | None = None,
+             venue_id: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(papers, reviews) of the chosen papers; contents are parsed once and chains walked once.
+
+    Without `rating_fields` those of `venue_id` are discovered.
+    """
+    parts = staged_parts(notes, opts)
+    if rating_fields is None:
+        rating_fields = discover_rating_fields(parts, venue_id)
+    replies = staged_replies(parts, opts)
+    papers = stage(paper_table(notes, parts, replies, buckets, opts), "papers")
+    reviews = review_table(parts, replies, rating_fields, opts)
     return papers, reviews.join(papers.select(*FORUM), FORUM, "left_semi")
 
 

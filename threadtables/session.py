@@ -26,8 +26,8 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write a table once and read it back: later branches prune columns and survive lost executors."""
     path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
