@@ -12,11 +12,18 @@ SITE = "https://reviews.example.org"
 REJECTED = f"{VENUE}/Rejected_Submission"
 ORDER_RATINGS = ["quantity", "discount", "tax"]
 
+# Fixed size at every scale: kept whole, so that joins with them can broadcast.
+_DIMENSIONS = {"region", "nation"}
+
 _NOTE_COLUMNS = ["venue_id", "forum", "id", "number", "replyto", "cdate", "seq", "signatures", "invitations", "content"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. One that is a single small file is spread over the cores; a large one is left as it is split."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if splits >= cores or name in _DIMENSIONS else df.repartition(cores)
 
 
 def _json(**values: Column) -> Column:

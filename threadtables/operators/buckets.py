@@ -58,7 +58,9 @@ def bucket_candidates(submissions: DataFrame, buckets: DataFrame) -> DataFrame:
         F.struct(F.lit(False).alias("by_id"), F.col("venue").alias("route_key")),
         F.struct(F.lit(True).alias("by_id"), F.col("venueid").alias("route_key")),
     )
-    keyed = submissions.where(in_venue(F.col("venueid"), F.col("venue_id"))).select("*", F.inline(keys)).alias("s")
+    # a NULL array gives no rows: unlike a filter, this is not pushed below the parsing of the content
+    own = F.when(in_venue(F.col("venueid"), F.col("venue_id")), keys)
+    keyed = submissions.select("*", F.inline(own)).alias("s")
     routes = small_enough_to_broadcast(_routes(buckets)).alias("b")
     on = (
         (F.col("s.venue_id") == F.col("b.route_venue")) & (F.col("s.by_id") == F.col("b.by_id"))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadtables.functions import content as C
 from threadtables.functions import fields as FL
 from threadtables.functions import text as T
-from threadtables.operators.classify import DECISION, META_REVIEW, REPLY, REVIEW, classify
+from threadtables.operators.classify import DECISION, META_REVIEW, OTHER, REPLY, REVIEW, SUBMISSION, classify
 from threadtables.operators.skew import HOT_ROWS, group_rank, join_texts
 from threadtables.operators.threads import FORUM, with_target
 
@@ -43,7 +43,8 @@ def thread_parts(notes: DataFrame, text_fields: list[str] = FL.REVIEW_TEXT_FIELD
     """Everything later steps need of a note, from one look at its content.
 
     One row per note with its kind as `part`, the text that kind contributes, and for a review the values of all
-    keys that are neither prose nor housekeeping. An author reply has a second row with part `reply`.
+    keys that are neither prose nor housekeeping. An author reply has a second row with part `reply`, a forum's
+    root one with part `submission`, whose text is the whole content.
     """
     parsed, kind = F.col("parsed"), F.col("kind")
     text = (
@@ -52,15 +53,28 @@ def thread_parts(notes: DataFrame, text_fields: list[str] = FL.REVIEW_TEXT_FIELD
         .when(kind == DECISION, C.truthy_text(parsed, "decision"))
     )
     scores = F.when(kind == REVIEW, C.values_except(parsed, text_fields + housekeeping))
-    own = F.struct(kind.alias("part"), text.alias("text"), scores.alias("scores"))
-    reply = F.when(F.col("is_reply"), F.struct(
-        F.lit(REPLY).alias("part"), T.reply_text(parsed, reply_fields).alias("text"),
-        F.lit(None).cast("map<string,string>").alias("scores")))
+    none = F.lit(None).cast("map<string,string>")
+
+    def part(name: Column, text: Column, scores: Column = none) -> Column:
+        return F.struct(name.alias("part"), text.alias("text"), scores.alias("scores"))
+
+    own = part(F.when(kind == SUBMISSION, OTHER).otherwise(kind), text, scores)
+    reply = part(F.lit(REPLY), T.reply_text(parsed, reply_fields))
+    root = part(F.lit(SUBMISSION), F.col("content"))
+    rows = (
+        F.when(F.col("is_reply"), F.array(own, reply)).when(F.col("id") == F.col("forum"), F.array(own, root))
+        .otherwise(F.array(own))
+    )
     return classify(notes, meta_keys, reply_fields).select(
-        *FORUM, "id", "replyto", "cdate", "seq", "signature", F.inline(F.array_compact(F.array(own, reply)))
+        *FORUM, "id", "number", "replyto", "cdate", "seq", "signature", F.inline(rows)
     )
 
 
+def root_notes(parts: DataFrame) -> DataFrame:
+    """The submission notes again, from the thread parts."""
+    return parts.where(F.col("part") == SUBMISSION).select(*FORUM, "id", "number", F.col("text").alias("content"))
+
+
 def reviews(parts: DataFrame, rating_fields: list[str]) -> DataFrame:
     """One row per official review, not yet numbered."""
     return parts.where(F.col("part") == REVIEW).select(

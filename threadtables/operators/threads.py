@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadtables.functions import text as T
-from threadtables.operators.classify import REPLY, REVIEW
+from threadtables.operators.classify import REPLY, REVIEW, SUBMISSION
 from threadtables.session import stage
 
 FORUM = ["venue_id", "forum"]
@@ -18,7 +18,7 @@ HOPS_PER_ROUND = 4
 
 def _nodes(parts: DataFrame) -> DataFrame:
     """One row per note id: what it answers (of the last copy) and whether it is a review."""
-    return parts.where(F.col("part") != REPLY).groupBy(*FORUM, F.col("id").alias("node")).agg(
+    return parts.where(~F.col("part").isin(REPLY, SUBMISSION)).groupBy(*FORUM, F.col("id").alias("node")).agg(
         F.max_by("replyto", F.struct("seq", "replyto")).alias("next"),
         F.max(F.col("part") == REVIEW).alias("node_is_review"),
     )

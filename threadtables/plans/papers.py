@@ -51,19 +51,18 @@ def review_table(parts: DataFrame, replies: DataFrame, rating_fields: list[str],
     return P.attach_rebuttals(P.reviews(parts, rating_fields), rebuttals)
 
 
-def chosen_submissions(notes: DataFrame, parts: DataFrame, buckets: DataFrame, opts: Options) -> DataFrame:
+def chosen_submissions(parts: DataFrame, buckets: DataFrame, opts: Options) -> DataFrame:
     """Submissions with their bucket: matched, limited, rejects without reviews dropped, first bucket kept."""
-    candidates = B.bucket_candidates(P.submissions(notes, opts.site), buckets)
+    candidates = B.bucket_candidates(P.submissions(P.root_notes(parts), opts.site), buckets)
     if opts.limit_per_bucket is not None:
         candidates = B.top_n_per_bucket(candidates, opts.limit_per_bucket)
     return B.first_bucket(B.drop_reject_without_reviews(candidates, P.review_counts(parts)))
 
 
-def paper_table(notes: DataFrame, parts: DataFrame, replies: DataFrame, buckets: DataFrame, opts: Options
-                ) -> DataFrame:
+def paper_table(parts: DataFrame, replies: DataFrame, buckets: DataFrame, opts: Options) -> DataFrame:
     """One row per chosen paper with decision, meta review and general response."""
     papers = (
-        chosen_submissions(notes, parts, buckets, opts)
+        chosen_submissions(parts, buckets, opts)
         .join(P.decision_per_paper(parts), FORUM, "left")
         .join(P.meta_per_paper(parts), FORUM, "left")
         .join(P.general_response(replies, opts.separator, opts.hot_rows), FORUM, "left")
@@ -86,7 +85,7 @@ def assemble(notes: DataFrame, buckets: DataFrame, opts: Options, rating_fields:
     if rating_fields is None:
         rating_fields = discover_rating_fields(parts, venue_id)
     replies = staged_replies(parts, opts)
-    papers = stage(paper_table(notes, parts, replies, buckets, opts), "papers")
+    papers = stage(paper_table(parts, replies, buckets, opts), "papers")
     reviews = review_table(parts, replies, rating_fields, opts)
     return papers, reviews.join(papers.select(*FORUM), FORUM, "left_semi")
 

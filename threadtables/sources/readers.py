@@ -50,7 +50,12 @@ def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
         spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
         .option("inferSchema", False).csv(path)
     )
-    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
+    return _filled(df)
+
+
+def _filled(df: DataFrame) -> DataFrame:
+    """Text columns with '' for NULL."""
+    return df.na.fill("")
 
 
 def read_text_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -59,5 +64,4 @@ def read_text_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 def union_ragged(tables: list[DataFrame]) -> DataFrame:
     """All rows of tables of different width; a missing column is ''."""
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
-    return union.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in union.columns])
+    return _filled(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables))
