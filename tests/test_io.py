@@ -1,0 +1,89 @@
+import json
+
+import pytest
+
+from conftest import VENUE, as_dicts, notes_df
+from test_papers import HEADINGS, OPTS, buckets_df, venue_notes
+from threadtables.operators import authors as A
+from threadtables.operators import reshape as R
+from threadtables.plans import papers as plan
+from threadtables.session import fresh_dir
+from threadtables.sources import readers, writers
+
+AWKWARD = [('say "hi", she\nsaid', None, 1), ("", "  é\r\nx ", None), ("x" * 40_000, "\\ back", 3)]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_cells_survive(spark, fmt):
+    df = spark.createDataFrame(AWKWARD, "`a b` string, c string, n int")
+    paths = writers.write_table(df, fresh_dir(spark, "t"), fmt)
+    read = {"csv": readers.read_text_csv, "parquet": readers.read_text_parquet}[fmt](spark, paths[0])
+    assert {t for _, t in read.dtypes} == {"string"}
+    expected = sorted(("" if a is None else a, "" if c is None else c, "" if n is None else str(n)) for a, c, n in AWKWARD)
+    assert sorted(map(tuple, read.collect())) == expected
+
+
+def test_both_formats_and_nothing(spark):
+    df = spark.createDataFrame([("a",)], "c string")
+    base = fresh_dir(spark, "t")
+    assert writers.write_table(df, base, "both") == [f"{base}.csv", f"{base}.parquet"]
+    assert writers.write_table(df.where("false"), fresh_dir(spark, "t"), "both") == []
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_bucket_tables_have_their_own_width(spark, fmt):
+    papers, reviews = plan.assemble(notes_df(spark, venue_notes()), buckets_df(spark, HEADINGS), OPTS, ["rating"])
+    out = fresh_dir(spark, "out")
+    paths = writers.write_per_bucket(papers, reviews, ["rating"], VENUE, out, fmt)
+    names = [p.rsplit("/", 1)[1] for p in paths]
+    assert names == [f"Conf_2030_Main_{b}_papers.{fmt}" for b in ("Accept_Oral", "Accept_Poster", "Reject")]
+    read = {"csv": readers.read_text_csv, "parquet": readers.read_text_parquet}[fmt]
+    assert [len(read(spark, p).columns) for p in paths] == [11 + 2 * 4, 11, 11 + 4]
+    whole = R.wide_reviews(papers, reviews, ["rating"])
+    union = writers.load_bucket_tables(spark, out, VENUE, fmt).select(*[f"`{c}`" for c in whole.columns])
+    assert as_dicts(union, "link") == as_dicts(whole, "link")
+
+
+def test_older_single_table(spark):
+    out = fresh_dir(spark, "out")
+    with pytest.raises(FileNotFoundError):
+        writers.load_bucket_tables(spark, out, VENUE)
+    writers.write_csv(spark.createDataFrame([("l",)], "link string"), f"{out}/Conf_2030_Main_papers.csv")
+    assert writers.load_bucket_tables(spark, out, VENUE).count() == 1
+
+
+def test_nested_papers_round_trip(spark):
+    papers, reviews = plan.assemble(notes_df(spark, venue_notes()), buckets_df(spark, HEADINGS), OPTS, ["rating"])
+    nested = plan.nested_papers(papers, reviews)
+    path = fresh_dir(spark, "jsonl")
+    writers.write_nested(nested, path)
+    back = readers.scan_nested_papers(spark, path).select(*nested.columns)
+    assert as_dicts(back, "forum") == as_dicts(nested, "forum")
+
+
+def test_defaults_of_older_rows(spark, tmp_path):
+    (tmp_path / "p.json").write_text(json.dumps({"forum": "f", "title": "t"}))
+    row = readers.scan_nested_papers(spark, str(tmp_path)).first()
+    assert (row["author_ids"], row["bucket"], row["reviews"], row["submission_number"]) == ([], "", [], None)
+    (tmp_path / "q.json").write_text(json.dumps({"id": "~a", "content": {"homepage": "h"}}) + "\n" + json.dumps(
+        {"id": "~a", "query_id": "~b"}))
+    profiles = readers.scan_profiles(spark, str(tmp_path / "q.json")).collect()
+    assert {r["query_id"] for r in profiles} == {"~a", "~b"}
+
+
+def test_landed_notes_and_groups(spark, tmp_path):
+    line = {"venue_id": VENUE, "forum": "f", "id": "f", "content": {"title": {"value": "t"}, "n": 7.0}}
+    (tmp_path / "n.json").write_text(json.dumps(line))
+    note = readers.scan_notes(spark, str(tmp_path / "n.json")).first()
+    assert json.loads(note["content"]) == line["content"] and note["signatures"] is None
+    assert readers.scan_groups(spark, str(tmp_path / "n.json")).count() == 1
+
+
+def test_manifest_round_trip(spark):
+    ids = spark.createDataFrame([("~b",), ("~a",), ("~b",)], "author_id string")
+    path = fresh_dir(spark, "ids")
+    writers.write_id_manifest(ids, path)
+    assert sorted(r[0] for r in readers.scan_manifest(spark, path).collect()) == ["~a", "~b"]
+    with pytest.raises(Exception):
+        readers.scan_manifest(spark, fresh_dir(spark, "none")).collect()
+    assert A.distinct_author_ids(spark.createDataFrame([([],)], "author_ids array<string>")).count() == 0
