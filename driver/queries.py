@@ -18,7 +18,7 @@ from threadtables.operators import threads as H
 from threadtables.operators.classify import classify, loose_note_kind, matching_keys
 from threadtables.plans import papers as plan
 from threadtables.plans.authors import author_rows
-from threadtables.session import fresh_dir
+from threadtables.session import fresh_dir, stage
 from threadtables.sources import readers, writers
 from threadtables.streaming import papers as stream_papers
 from threadtables.streaming import profiles as stream_profiles
@@ -137,8 +137,7 @@ def content_value(spark, d):
 
 def decision_and_meta(spark, d):
     parts = P.thread_parts(X.order_replies(spark, d))
-    both = P.decision_per_paper(parts).join(P.meta_per_paper(parts), H.FORUM, "full")
-    return both.select("forum", "decision", "meta_review_text", "meta_reviewer_handle")
+    return P.decision_and_meta(parts).select("forum", "decision", "meta_review_text", "meta_reviewer_handle")
 
 
 def submission_columns(spark, d):
@@ -190,7 +189,8 @@ def paper_rows(spark, d):
 
 
 def long_reviews(spark, d):
-    rows = P.reviews(P.thread_parts(X.order_replies(spark, d)), X.ORDER_RATINGS)
+    # numbering looks at the rows more than once, so they are written before
+    rows = stage(P.reviews(P.thread_parts(X.order_replies(spark, d)), X.ORDER_RATINGS), "reviews")
     return P.number_reviews(rows).select(
         "forum", "review_idx", "reviewer", "full_text", _pairs("ratings").alias("ratings"))
 
@@ -250,7 +250,7 @@ def unpivot_history(spark, d):
 
 
 def _manifest(spark, d):
-    return A.distinct_author_ids(P.submissions(X.order_submissions(spark, d), X.SITE))
+    return A.author_ids(P.submissions(X.order_submissions(spark, d), X.SITE))
 
 
 def manifest_profiles(spark, d):

@@ -9,9 +9,16 @@ from threadtables.functions import profile as P
 from threadtables.functions import text as T
 
 
+def author_ids(papers: DataFrame) -> DataFrame:
+    """Every author id once."""
+    # an outer explode adds no size filter, which would be pushed down and compute the ids a second time
+    ids = papers.select(F.explode_outer("author_ids").alias("author_id")).distinct()
+    return ids.where("author_id IS NOT NULL")
+
+
 def distinct_author_ids(papers: DataFrame) -> DataFrame:
     """Every author id once, sorted."""
-    return papers.select(F.explode("author_ids").alias("author_id")).distinct().orderBy("author_id")
+    return author_ids(papers).orderBy("author_id")
 
 
 def manifest_profiles(ids: DataFrame, profiles: DataFrame, keep_missing: bool = False) -> DataFrame:

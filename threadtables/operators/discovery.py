@@ -62,8 +62,8 @@ def rating_audit(classified: DataFrame, rating_fields: list[str], length: int =
     """Every field of every review with its shortened value and its class."""
     fields = classified.where(F.col("kind") == REVIEW).select(
         *FORUM, F.col("id").alias("note_id"), T.handle(F.col("signature")).alias("reviewer"),
-        F.explode("parsed").alias("field", "entry"),
-    )
+        F.explode_outer("parsed").alias("field", "entry"),
+    ).where("field IS NOT NULL")
     shown = F.when(F.col("entry").isNull(), "").otherwise(F.coalesce("entry.text", F.lit("None")))
     return fields.select(
         *FORUM, "note_id", "reviewer", "field", T.shortened(shown, length).alias("shown"),

@@ -92,20 +92,16 @@ def review_counts(parts: DataFrame) -> DataFrame:
     return parts.where(F.col("part") == REVIEW).groupBy(*FORUM).agg(F.count(F.lit(1)).alias("n_reviews"))
 
 
-def decision_per_paper(parts: DataFrame) -> DataFrame:
-    """The last decision note with a value."""
-    last = parts.where(F.col("part") == DECISION).groupBy(*FORUM).agg(
-        F.max_by("text", F.when(F.col("text").isNotNull(), F.struct("seq", "id"))).alias("decision")
-    )
-    return last.where("decision IS NOT NULL")
-
-
-def meta_per_paper(parts: DataFrame) -> DataFrame:
-    """Text and handle of the last meta review."""
+def decision_and_meta(parts: DataFrame) -> DataFrame:
+    """Per forum, the last decision with a value, and text and handle of the last meta review: one aggregate."""
+    place = F.struct("seq", "id")
+    decided = F.when((F.col("part") == DECISION) & F.col("text").isNotNull(), place)
     meta = F.struct(F.col("text").alias("meta_review_text"), T.handle(F.col("signature")).alias("meta_reviewer_handle"))
-    last = parts.where(F.col("part") == META_REVIEW).groupBy(*FORUM).agg(
-        F.max_by(meta, F.struct("seq", "id")).alias("meta"))
-    return last.select(*FORUM, "meta.*")
+    last = parts.where(F.col("part").isin(DECISION, META_REVIEW)).groupBy(*FORUM).agg(
+        F.max_by("text", decided).alias("decision"),
+        F.max_by(meta, F.when(F.col("part") == META_REVIEW, place)).alias("meta"),
+    )
+    return last.select(*FORUM, "decision", "meta.*").where("decision IS NOT NULL OR meta_review_text IS NOT NULL")
 
 
 def author_replies(parts: DataFrame) -> DataFrame:

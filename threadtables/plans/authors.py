@@ -15,7 +15,7 @@ def author_rows(papers: DataFrame, profiles: DataFrame, site: str, distinct: boo
 
     By default one row per id found, so merged profiles repeat; `distinct` keeps each profile once.
     """
-    found = A.manifest_profiles(A.distinct_author_ids(papers), profiles, keep_missing)
+    found = A.manifest_profiles(A.author_ids(papers), profiles, keep_missing)
     if keep_missing:
         found = found.withColumn("id", F.coalesce("id", "author_id"))
     if distinct:

@@ -63,8 +63,7 @@ def paper_table(parts: DataFrame, replies: DataFrame, buckets: DataFrame, opts:
     """One row per chosen paper with decision, meta review and general response."""
     papers = (
         chosen_submissions(parts, buckets, opts)
-        .join(P.decision_per_paper(parts), FORUM, "left")
-        .join(P.meta_per_paper(parts), FORUM, "left")
+        .join(P.decision_and_meta(parts), FORUM, "left")
         .join(P.general_response(replies, opts.separator, opts.hot_rows), FORUM, "left")
     )
     text = {c: F.coalesce(c, F.lit("")) for c in ("meta_review_text", "meta_reviewer_handle", "general_response")}
