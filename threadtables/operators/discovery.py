@@ -71,12 +71,15 @@ def rating_audit(classified: DataFrame, rating_fields: list[str], length: int =
     )
 
 
+def _last_invitation() -> Column:
+    return F.coalesce(F.get("invitations", F.size("invitations") - 1), F.lit("?"))
+
+
 def note_census(classified: DataFrame) -> DataFrame:
     """Notes per kind, last invitation and set of content keys."""
-    last_invitation = F.coalesce(F.try_element_at("invitations", F.lit(-1)), F.lit("?"))
     keys = F.coalesce(F.array_join(F.array_sort(F.map_keys("parsed")), ","), F.lit(""))
     return classified.groupBy(
-        "kind", "is_reply", last_invitation.alias("invitation"), keys.alias("content_keys")
+        "kind", "is_reply", _last_invitation().alias("invitation"), keys.alias("content_keys")
     ).agg(F.count(F.lit(1)).alias("notes"))
 
 
@@ -86,7 +89,7 @@ def note_listing(notes: DataFrame) -> DataFrame:
     return notes.select(
         *FORUM, "id", "number", "replyto",
         F.coalesce(F.get("signatures", F.lit(0)), F.lit("?")).alias("signature"),
-        F.coalesce(F.try_element_at("invitations", F.lit(-1)), F.lit("?")).alias("invitation"),
+        _last_invitation().alias("invitation"),
         F.coalesce(F.array_join(F.map_keys(parsed), ","), F.lit("")).alias("content_keys"),
     )
 
