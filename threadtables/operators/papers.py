@@ -9,7 +9,7 @@ from threadtables.functions import content as C
 from threadtables.functions import fields as FL
 from threadtables.functions import text as T
 from threadtables.operators.classify import DECISION, META_REVIEW, OTHER, REPLY, REVIEW, SUBMISSION, classify
-from threadtables.operators.skew import HOT_ROWS, group_rank, join_texts
+from threadtables.operators.skew import HOT_ROWS, HOT_TEXTS, group_rank, join_texts
 from threadtables.operators.threads import FORUM, with_target
 
 REVIEW_ORDER = ["reviewer", "seq", "note_id"]
@@ -115,13 +115,13 @@ def replies_with_target(parts: DataFrame, targets: DataFrame) -> DataFrame:
     return with_target(author_replies(parts), targets)
 
 
-def merge_rebuttals(replies: DataFrame, separator: str = FL.REPLY_SEPARATOR, limit: int = HOT_ROWS) -> DataFrame:
+def merge_rebuttals(replies: DataFrame, separator: str = FL.REPLY_SEPARATOR, limit: int = HOT_TEXTS) -> DataFrame:
     """One cell per answered review, replies in posting order."""
     answered = replies.where("target IS NOT NULL").withColumnRenamed("target", "note_id")
     return join_texts(answered, [*FORUM, "note_id"], REPLY_ORDER, "text", separator, "rebuttal_text", limit)
 
 
-def general_response(replies: DataFrame, separator: str = FL.REPLY_SEPARATOR, limit: int = HOT_ROWS) -> DataFrame:
+def general_response(replies: DataFrame, separator: str = FL.REPLY_SEPARATOR, limit: int = HOT_TEXTS) -> DataFrame:
     """One cell per forum, of the replies that answer no review."""
     general = replies.where("target IS NULL")
     return join_texts(general, FORUM, REPLY_ORDER, "text", separator, "general_response", limit)

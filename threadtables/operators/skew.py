@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from threadtables.session import stage
 
 HOT_ROWS = 1_000_000
+# Texts are long: fewer of them make a task's share.
+HOT_TEXTS = 10_000
 _PIECES = 256
 _MAX_DEPTH = 6
 
@@ -72,7 +74,7 @@ def group_rank(df: DataFrame, keys: list[str], order: list[str], out: str = "ran
 
 
 def join_texts(df: DataFrame, keys: list[str], order: list[str], text: str, separator: str, out: str,
-               limit: int = HOT_ROWS) -> DataFrame:
+               limit: int = HOT_TEXTS) -> DataFrame:
     """One cell per group: its texts in order. A hot group is joined in pieces first, then piece by piece."""
 
     def joined(rows: DataFrame, by: list[str], sort: list[str], value: str) -> DataFrame:

@@ -11,11 +11,15 @@ from threadtables.functions import fields as FL
 from threadtables.operators import buckets as B
 from threadtables.operators import papers as P
 from threadtables.operators.discovery import discover_rating_fields
-from threadtables.operators.skew import HOT_ROWS
+from threadtables.operators.reshape import max_reviews
+from threadtables.operators.skew import HOT_ROWS, HOT_TEXTS
 from threadtables.operators.threads import FORUM, MAX_HOPS, resolve_targets
 from threadtables.session import stage
 from threadtables.sources import schemas
 
+# A nested row holds all reviews of its paper.
+MAX_NESTED = 100_000
+
 
 @dataclass(frozen=True)
 class Options:
@@ -24,15 +28,18 @@ class Options:
     site: str
     text_fields: tuple[str, ...] = tuple(FL.REVIEW_TEXT_FIELDS)
     reply_fields: tuple[str, ...] = tuple(FL.REPLY_TEXT_FIELDS)
+    housekeeping_fields: tuple[str, ...] = tuple(FL.HOUSEKEEPING_FIELDS)
     meta_keys: tuple[str, ...] = ("summary",)
     separator: str = FL.REPLY_SEPARATOR
     max_hops: int = MAX_HOPS
     limit_per_bucket: int | None = None
     hot_rows: int = HOT_ROWS
+    hot_texts: int = HOT_TEXTS
 
 
 def thread_parts(notes: DataFrame, opts: Options) -> DataFrame:
-    return P.thread_parts(notes, list(opts.text_fields), list(opts.reply_fields), opts.meta_keys)
+    return P.thread_parts(notes, list(opts.text_fields), list(opts.reply_fields), opts.meta_keys,
+                          list(opts.housekeeping_fields))
 
 
 def staged_parts(notes: DataFrame, opts: Options) -> DataFrame:
@@ -47,7 +54,7 @@ def staged_replies(parts: DataFrame, opts: Options) -> DataFrame:
 
 def review_table(parts: DataFrame, replies: DataFrame, rating_fields: list[str], opts: Options) -> DataFrame:
     """Every official review with the authors' answer to it, not numbered."""
-    rebuttals = P.merge_rebuttals(replies, opts.separator, opts.hot_rows)
+    rebuttals = P.merge_rebuttals(replies, opts.separator, opts.hot_texts)
     return P.attach_rebuttals(P.reviews(parts, rating_fields), rebuttals)
 
 
@@ -64,7 +71,7 @@ def paper_table(parts: DataFrame, replies: DataFrame, buckets: DataFrame, opts:
     papers = (
         chosen_submissions(parts, buckets, opts)
         .join(P.decision_and_meta(parts), FORUM, "left")
-        .join(P.general_response(replies, opts.separator, opts.hot_rows), FORUM, "left")
+        .join(P.general_response(replies, opts.separator, opts.hot_texts), FORUM, "left")
     )
     text = {c: F.coalesce(c, F.lit("")) for c in ("meta_review_text", "meta_reviewer_handle", "general_response")}
     return papers.withColumns(text).withColumn("type", F.coalesce("decision", "bucket")).select(
@@ -80,6 +87,8 @@ def assemble(notes: DataFrame, buckets: DataFrame, opts: Options, rating_fields:
 
     Without `rating_fields` those of `venue_id` are discovered.
     """
+    if rating_fields is None and venue_id is None:
+        raise ValueError("give rating_fields, or the venue_id to discover them for")
     parts = staged_parts(notes, opts)
     if rating_fields is None:
         rating_fields = discover_rating_fields(parts, venue_id)
@@ -97,7 +106,9 @@ def long_reviews(reviews: DataFrame, opts: Options) -> DataFrame:
 
 
 def nested_papers(papers: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Papers with their reviews nested: the row a JSON-lines export holds."""
+    """Papers with their reviews nested: the row a JSON-lines export holds. Its size is checked before."""
+    if max_reviews(papers) > MAX_NESTED:
+        raise ValueError(f"a paper has more than {MAX_NESTED} reviews, too many for one row; use the long table")
     none = F.array().cast(f"array<{schemas.REVIEW}>")
     return papers.join(P.collect_reviews(reviews), FORUM, "left").withColumn(
         "reviews", F.coalesce("reviews", none)
