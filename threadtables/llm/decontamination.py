@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from threadtables.llm.textbytes import chunks, flags, mix
+from threadtables.llm.textbytes import chunks, flags, grams, mix
 from threadtables.session import stage
 
 #: Digits, a-z and every byte beyond ASCII; upper case is folded before.
@@ -21,22 +21,6 @@ SUFFIXES_PER_PASS = 1 << 20
 MATCHES = "doc_id long, n_words long, hits array<struct<item: string, place: long, at: long, words: long>>"
 
 
-def _weights(n: int) -> np.ndarray:
-    return mix(np.arange(1, n + 1, dtype=np.uint64)) | np.uint64(1)
-
-
-def _grams(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places at which n words of one text follow each other, and the fingerprint of these words."""
-    if len(words) < n:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    total = np.zeros(len(words) - n + 1, np.uint64)
-    for k, w in enumerate(_weights(n)):
-        total += words[k:len(words) - n + 1 + k] * w
-    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    places = np.flatnonzero(text[:len(words) - n + 1] == text[n - 1:])
-    return places, mix(total[places])
-
-
 def _word_prints(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     for chunk in chunks(texts):
         chunk.lower()
@@ -53,9 +37,9 @@ def test_suffixes(benchmark: DataFrame, words: int = 13) -> Iterator[dict[int, t
         for _, prints, first in _word_prints(pa.array([row[1]], pa.string())):
             n = min(words, len(prints))
             if n:
-                places, grams = _grams(prints, first, n)
-                block[n].append((grams, row[0], places))
-                held += len(grams)
+                places, keys = grams(prints, first, n)
+                block[n].append((keys, row[0], places))
+                held += len(keys)
         if held >= SUFFIXES_PER_PASS:
             yield _sorted_block(block)
             block, held = defaultdict(list), 0
@@ -65,11 +49,11 @@ def test_suffixes(benchmark: DataFrame, words: int = 13) -> Iterator[dict[int, t
 def _sorted_block(block: dict[int, list]) -> dict[int, tuple]:
     out = {}
     for n, parts in block.items():
-        grams = np.concatenate([p[0] for p in parts])
+        keys = np.concatenate([p[0] for p in parts])
         items = np.concatenate([np.full(len(p[0]), i) for i, p in enumerate(parts)])
         places = np.concatenate([p[2] for p in parts])
-        order = np.argsort(grams, kind="stable")
-        out[n] = (grams[order], items[order], places[order], [p[1] for p in parts])
+        order = np.argsort(keys, kind="stable")
+        out[n] = (keys[order], items[order], places[order], [p[1] for p in parts])
     return out
 
 
@@ -101,11 +85,11 @@ def _one_pass(docs: DataFrame, block: dict[int, tuple], words: int) -> DataFrame
             hits: list[list] = [[] for _ in range(len(ids))]
             for row, prints, first in _word_prints(texts):
                 n_words[row:row + len(first) - 1] = np.diff(first)
-                for n, (grams, items, places, names) in block.items():
-                    suffixes, keys = _grams(prints, first, n)
+                for n, (tests, items, places, names) in block.items():
+                    suffixes, keys = grams(prints, first, n)
                     order = np.argsort(keys)
                     keys, suffixes = keys[order], suffixes[order]
-                    low, high = np.searchsorted(keys, grams, "left"), np.searchsorted(keys, grams, "right")
+                    low, high = np.searchsorted(keys, tests, "left"), np.searchsorted(keys, tests, "right")
                     found = np.flatnonzero(high > low)
                     if not len(found):
                         continue

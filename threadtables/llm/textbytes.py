@@ -102,6 +102,22 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
         row = to
 
 
+def _weights(n: int) -> np.ndarray:
+    return mix(np.arange(1, n + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def grams(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places at which n words of one text follow each other, and the fingerprint of these words."""
+    if len(words) < n:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    total = np.zeros(len(words) - n + 1, np.uint64)
+    for k, w in enumerate(_weights(n)):
+        total += words[k:len(words) - n + 1 + k] * w
+    text = rows_of(first)
+    places = np.flatnonzero(text[:len(words) - n + 1] == text[n - 1:])
+    return places, mix(total[places] + np.uint64(n))
+
+
 def rows_of(counts_before: np.ndarray) -> np.ndarray:
     """The row of each item, from the number of items before each row."""
     return np.repeat(np.arange(len(counts_before) - 1), np.diff(counts_before))
