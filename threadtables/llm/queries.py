@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadtables.llm import decontamination, ngram_join, sharding
+from threadtables.llm import decontamination, ngram_join, repeats, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -19,9 +19,13 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(_table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "benchmark", "item_id", "text")
     return decontamination.contamination(decontamination.verbatim_matches(docs, items))
 
 
-ALL = [op2_kd_sharding, op7_ngram_jaccard_join, op10_decontamination]
+ALL = [op2_kd_sharding, op7_ngram_jaccard_join, op9_suffix_array_dedup, op10_decontamination]
