@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,8 +28,21 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Drop the shuffle files of each query run inside once it has ended; what it wrote is read from then on."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write a table once and read it back: later branches prune columns and survive lost executors."""
     path = fresh_dir(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    with released_shuffles(df.sparkSession):
+        df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
