@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadtables.llm import decontamination, ngram_join, repeats, sharding
+from threadtables.llm import decontamination, ngram_join, packing, repeats, sharding
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -19,6 +22,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_pattern_packing(spark: SparkSession, sf_dir: str, tokenizer: str = TOKENIZER) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer)
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(repeats.remove_repeats(_table(spark, sf_dir, "documents", "doc_id", "text")))
 
@@ -28,4 +35,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(decontamination.verbatim_matches(docs, items))
 
 
-ALL = [op2_kd_sharding, op7_ngram_jaccard_join, op9_suffix_array_dedup, op10_decontamination]
+ALL = [op2_kd_sharding, op7_ngram_jaccard_join, op8_pattern_packing, op9_suffix_array_dedup, op10_decontamination]
