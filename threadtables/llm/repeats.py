@@ -157,14 +157,15 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     keyed = _keyed(docs)
     known = docs.sparkSession.sparkContext.broadcast(_repeated_cores(keyed, length))
     hits = stage(_repeated_phrases(keyed, length, known), "phrases")
-    kinds = hits.groupBy("core", "text").agg(F.count("*").alias("n"), F.min(F.struct("id", "crc", "first", "last")).alias("one"))
+    kinds = hits.groupBy("core", "text").agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("id", "crc", "first", "last")))
     kinds = stage(kinds, "phrase-kinds")
     cores = kinds.groupBy("core").agg(F.sum("n").alias("all"), F.min("n").alias("least")).where("all > 1 and least = 1").select("core")
     whole = hits.join(kinds.where("n > 1").select("core", "text"), ["core", "text"], "left_semi").select("id", "crc", "first", "last")
-    edges = kinds.join(cores, "core", "left_semi").select("one.*", "core")
+    edges = kinds.join(cores, "core", "left_semi").select("id", "crc", "first", "last", "core")
     strings = _strings(_packed(keyed.where(F.octet_length("text") >= length)), edges, length)
     again = strings.groupBy("core", "string").count().where("count > 1").select("core", "string")
     single = strings.join(again, ["core", "string"], "left_semi").select("id", "crc", F.col("start").alias("first"), F.col("start").alias("last"))
+    single = stage(single, "edge-strings")
     return whole.unionByName(single).groupBy("id", "crc").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
 
 
