@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadtables.llm import decontamination, line_dedup, ngram_join, packing, repeats, sharding
+from threadtables.llm import decontamination, line_dedup, ngram_join, packing, repeats, sharding, vptree
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -18,6 +18,11 @@ def op2_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"), 24)
 
 
+def op3_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return vptree.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -39,4 +44,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(decontamination.verbatim_matches(docs, items))
 
 
-ALL = [op2_kd_sharding, op4_line_dedup, op7_ngram_jaccard_join, op8_pattern_packing, op9_suffix_array_dedup, op10_decontamination]
+ALL = [op2_kd_sharding, op3_vantage_point_search, op4_line_dedup, op7_ngram_jaccard_join, op8_pattern_packing, op9_suffix_array_dedup, op10_decontamination]
