@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadtables.llm import decontamination, line_dedup, ngram_join, packing, repeats, sharding, vptree
+from threadtables.llm import decontamination, language, line_dedup, ngram_join, packing, repeats, sharding, toxicity, vptree
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -27,6 +27,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+def op6_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = language.fit(docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
+    return language.predict(docs, model).withColumn("held_out", language.held_out("doc_id", 4, 2))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -44,4 +54,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(decontamination.verbatim_matches(docs, items))
 
 
-ALL = [op2_kd_sharding, op3_vantage_point_search, op4_line_dedup, op7_ngram_jaccard_join, op8_pattern_packing, op9_suffix_array_dedup, op10_decontamination]
+ALL = [op2_kd_sharding, op3_vantage_point_search, op4_line_dedup, op5_toxicity, op6_language_codes, op7_ngram_jaccard_join, op8_pattern_packing, op9_suffix_array_dedup, op10_decontamination]

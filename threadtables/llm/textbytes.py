@@ -84,7 +84,7 @@ def flags(kept: str, among: bool = True) -> np.ndarray:
     return out
 
 
-def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
+def chunks(texts: pa.Array, limit: int = CHUNK_BYTES, rows: int = 4096) -> Iterator[Chunk]:
     """All rows of a string column in order; null is an empty text."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -97,7 +97,7 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
     row = 0
     while row < len(texts):
         to = max(row + 1, int(np.searchsorted(at, at[row] + limit, side="right")) - 1)
-        to = min(to, len(texts), row + 4096)
+        to = min(to, len(texts), row + rows)
         yield Chunk(row, raw[at[row]:at[to]], at[row:to + 1] - at[row])
         row = to
 
