@@ -2,6 +2,37 @@
 
 from __future__ import annotations
 
+from threadtables.llm.queries import BLOCKED_LABELS, RULES
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def op1_bloom_cascade() -> str:
+    rules = ", ".join(f"({_text(v)}, {_text(h)}, {_text(p)})" for v, h, p in RULES)
+    labels = ", ".join(map(_text, BLOCKED_LABELS))
+    return f"""
+with rules(verdict, host, path) as (values {rules}),
+rest as (
+  select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+parts as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') as host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from rest),
+keyed as (select *, row_number() over () as k from parts),
+fits as (
+  select k, r.host || r.path as rule, r.verdict,
+         row_number() over (partition by k order by length(r.host || r.path) desc, length(r.host) desc) as place
+  from keyed p join rules r
+    on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path))
+select page_id, host, path, f.rule,
+       coalesce(f.verdict, case when list_has_any(string_split(host, '.'), [{labels}]) then 'block' else 'allow' end) as verdict
+from keyed p left join fits f on f.k = p.k and f.place = 1
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op1_bloom_cascade": op1_bloom_cascade()}

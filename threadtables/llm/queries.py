@@ -5,15 +5,24 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadtables.llm import decontamination, language, line_dedup, ngram_join, packing, repeats, sharding, toxicity, vptree
+from threadtables.llm import decontamination, language, line_dedup, ngram_join, packing, repeats, sharding, toxicity, urlfilter, vptree
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+#: Hosts with one of these labels are on the block list.
+BLOCKED_LABELS = ("spam-farm", "cheap-pills", "casino", "adult")
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages", "page_id", "url")
+    return urlfilter.judge(pages, RULES, urlfilter.hosts_with_label(pages, BLOCKED_LABELS))
+
+
 def op2_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"), 24)
 
@@ -54,4 +63,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(decontamination.verbatim_matches(docs, items))
 
 
-ALL = [op2_kd_sharding, op3_vantage_point_search, op4_line_dedup, op5_toxicity, op6_language_codes, op7_ngram_jaccard_join, op8_pattern_packing, op9_suffix_array_dedup, op10_decontamination]
+ALL = [op1_bloom_cascade, op2_kd_sharding, op3_vantage_point_search, op4_line_dedup, op5_toxicity, op6_language_codes, op7_ngram_jaccard_join, op8_pattern_packing, op9_suffix_array_dedup, op10_decontamination]
