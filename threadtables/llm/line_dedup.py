@@ -119,8 +119,13 @@ def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def drop_emptied(docs: DataFrame, deduped: DataFrame) -> DataFrame:
-    """`docs` with the texts of `deduped` and their other columns; a document of which only blanks are left is dropped,
-    one that had no more from the start stays. Needs one row for each doc_id; rows that repeat one count once."""
-    new = deduped.where("n_removed > 0").select("doc_id", F.col("text").alias("_text")).distinct()
-    rows = docs.join(new, "doc_id", "left").where("_text is null or trim(regexp_replace(_text, '[\\\\s]+', '')) <> ''")
+    """`docs` with the texts of `deduped` and their other columns (`n_chars`, if there, is counted anew).
+
+    A document that lost lines and has only blanks left is dropped; one that had no more from the start stays. Needs
+    one text for each doc_id; rows without doc_id stay as they are.
+    """
+    new = deduped.where("n_removed > 0 and doc_id is not null").select("doc_id", F.col("text").alias("_text")).distinct()
+    rows = docs.join(new, "doc_id", "left").where(F.col("_text").isNull() | F.col("_text").rlike(r"\S"))
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.when(F.col("_text").isNull(), F.col("n_chars")).otherwise(F.char_length("_text").cast(docs.schema["n_chars"].dataType)))
     return rows.withColumn("text", F.coalesce("_text", "text")).drop("_text")
