@@ -124,8 +124,12 @@ def drop_emptied(docs: DataFrame, deduped: DataFrame) -> DataFrame:
     A document that lost lines and has only blanks left is dropped; one that had no more from the start stays. Needs
     one text for each doc_id; rows without doc_id stay as they are.
     """
-    new = deduped.where("n_removed > 0 and doc_id is not null").select("doc_id", F.col("text").alias("_text")).distinct()
-    rows = docs.join(new, "doc_id", "left").where(F.col("_text").isNull() | F.col("_text").rlike(r"\S"))
+    new = deduped.where("n_removed > 0 and doc_id is not null").select(F.col("doc_id").alias("key"), F.col("text").alias("left")).distinct()
+    rows = docs.select(F.struct("*").alias("row")).join(new, F.col("row.doc_id") == F.col("key"), "left")
+    rows = rows.where(F.col("left").isNull() | F.col("left").rlike(r"\S"))
+    changed = {"text": F.col("left")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_text").isNull(), F.col("n_chars")).otherwise(F.char_length("_text").cast(docs.schema["n_chars"].dataType)))
-    return rows.withColumn("text", F.coalesce("_text", "text")).drop("_text")
+        changed["n_chars"] = F.char_length("left").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*(
+        F.when(F.col("left").isNull(), F.col("row")[c]).otherwise(changed[c]).alias(c) if c in changed else F.col("row")[c].alias(c)
+        for c in docs.columns))

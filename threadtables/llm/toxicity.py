@@ -59,6 +59,7 @@ def _features(chunk: Chunk, insults: np.ndarray, you: np.ndarray) -> np.ndarray:
 
     def per_row(flag: np.ndarray) -> np.ndarray:
         total = np.zeros(len(chunk.data) + 1, np.int64)
+        flag = flag[:len(chunk.data)]
         np.cumsum(flag, out=total[1:1 + len(flag)])
         total[1 + len(flag):] = total[len(flag)]
         return np.diff(total[chunk.starts]).astype(float)
