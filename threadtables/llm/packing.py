@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import bisect
-import os
 import re
 import zlib
 from collections import defaultdict
@@ -21,30 +20,59 @@ CACHED_WORDS = 300_000
 _ROWS = 256
 
 
+#: Fixed value: where this vocabulary parts a text before its pairs are merged.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _token_bytes(vocabulary: dict[str, int]) -> dict[bytes, int]:
+    """Tokens as bytes: the file writes each byte as one character, printable ones as themselves and the rest from
+    U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+    return {bytes(of[c] for c in token): i for token, i in vocabulary.items() if all(c in of for c in token)}
+
+
 class _Words:
-    """Ids of whole texts by byte-level BPE. The vocabulary's pattern always starts a token at a blank that stands
-    before a visible character, so the words between such blanks are encoded once each and joined."""
+    """Ids of whole texts by byte-level BPE. The pattern always starts a token at a blank that stands before a visible
+    character, so the words between such blanks are encoded once each and joined. Merges are ranked by their ids, which
+    lets the faster of the two installed libraries give the ids of the other."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        model = Tokenizer.from_file(path)
+        special = {t.content for t in model.get_added_tokens_decoder().values()}
+        ranks = _token_bytes({t: i for t, i in model.get_vocab().items() if t not in special})
+        self.encode = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch(words, add_special_tokens=False)]
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.encode(text), "<u4").tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.known) > CACHED_WORDS:
             self.known = {}
-        parts = [text.split(" ") if not _LONE_BLANK.search(text) else _BLANK.split(text) for text in texts]
-        new = list({w for p in parts for w in p[1:]} - self.known.keys())
-        self.known.update(zip(new, self._encode([" " + w for w in new]), strict=True))
-        heads = self._encode([p[0] for p in parts])
-        return [h + b"".join(map(self.known.__getitem__, p[1:])) for h, p in zip(heads, parts, strict=True)]
+        out = []
+        for text in texts:
+            parts = _BLANK.split(text) if _LONE_BLANK.search(text) else text.split(" ")
+            head = self._ids(parts[0])
+            rest = parts[1:]
+            for word in set(rest).difference(self.known):
+                self.known[word] = self._ids(" " + word)
+            out.append(head + b"".join(map(self.known.__getitem__, rest)))
+        return out
+
+
+_loaded: dict[str, _Words] = {}
+
+
+def _words(path: str) -> _Words:
+    """Loaded once in each worker."""
+    if path not in _loaded:
+        _loaded[path] = _Words(path)
+    return _loaded[path]
 
 
 _BLANK = re.compile(r" (?=\S)")
@@ -60,7 +88,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end: int =
     closing = np.array([end], "<u4").tobytes()
 
     def cut(batches):
-        words = _Words(tokenizer)
+        words = _words(tokenizer)
         for batch in batches:
             for k in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(k, _ROWS)
@@ -230,7 +258,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end: int = 0) -> D
     the rank alone. Null and empty texts are the end id alone; repeated rows are packed each; no rows give none; other
     columns are ignored.
     """
-    ranked = group_slots(token_pieces(docs, tokenizer, length, end), ["length"], ["doc_id", "piece"], "rank")
+    pieces = stage(token_pieces(docs, tokenizer, length, end), "pieces")
+    ranked = group_slots(pieces, ["length"], ["doc_id", "piece"], "rank")
     histogram = {r["length"]: r["count"] for r in ranked.groupBy("length").count().collect()}
     lengths, ranks, sequences, offsets = _places(plan(histogram, length))
     keys = (lengths << 44) + ranks
