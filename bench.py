@@ -9,6 +9,7 @@ import time
 from pyspark.sql import SparkSession
 
 from driver import queries as catalog
+from driver.session import give_work_dir
 
 HEADLINES = [
     catalog.wide_reviews, catalog.long_reviews, catalog.top_n_per_bucket, catalog.decision_and_meta,
@@ -27,6 +28,7 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    give_work_dir(spark)
     runs: dict[str, list[float]] = {}
     for query in HEADLINES:
         for _ in range(2):

@@ -1,3 +1,5 @@
+import json
+
 from threadtables.operators import authors as A
 from threadtables.operators.reshape import unpivot_history, wide_history
 from threadtables.plans.authors import author_rows
@@ -61,3 +63,15 @@ def test_manifest(spark):
     assert author_rows(papers, profiles, SITE).count() == 2
     assert author_rows(papers, profiles, SITE, distinct=True).count() == 1
     assert author_rows(papers, profiles, SITE, keep_missing=True).count() == 4
+
+
+def test_years_of_any_type_are_shown(spark):
+    from threadtables.session import fresh_dir
+    from threadtables.sources import readers
+
+    path = fresh_dir(spark, "profiles")
+    years = [("2015", "2017"), (2015, 2016.5), (0, None), (None, "now")]
+    line = json.dumps({"id": "~a", "content": {"history": [{"position": "p", "start": a, "end": b} for a, b in years]}})
+    spark.createDataFrame([(line,)], "value string").write.text(path)
+    rows = A.long_history(A.author_table(readers.scan_profiles(spark, path), "https://s")).orderBy("history_idx").collect()
+    assert [(r["start"], r["end"]) for r in rows] == [("2015", "2017"), ("2015", "2016.5"), ("0", "Present"), ("", "now")]

@@ -87,3 +87,11 @@ def test_manifest_round_trip(spark):
     with pytest.raises(Exception):
         readers.scan_manifest(spark, fresh_dir(spark, "none")).collect()
     assert A.distinct_author_ids(spark.createDataFrame([([],)], "author_ids array<string>")).count() == 0
+
+
+def test_broken_lines_stop_the_read(spark):
+    path = fresh_dir(spark, "broken")
+    spark.createDataFrame([('{"venue_id": "v", "forum": "f", "id": "n"}',), ('{"venue_id": "v", "fo',)], "value string").write.text(path)
+    for scan in (readers.scan_notes, readers.scan_groups, readers.scan_profiles):
+        with pytest.raises(Exception, match="MALFORMED"):
+            scan(spark, path).collect()

@@ -1,7 +1,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from threadtables.operators.skew import group_rank, hot_groups, join_texts
+from threadtables.operators.skew import group_rank, join_texts
 
 
 def _rows(spark):
@@ -13,20 +13,17 @@ def _rows(spark):
 
 
 def test_rank_of_hot_groups_is_the_plain_rank(spark):
+    """Hot, cold and NULL groups on the same path, over many partitions."""
     df = _rows(spark)
     plain = df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy("a", "b")))
-    ranked = group_rank(df, ["g"], ["a", "b"], "rank", limit=25)
+    ranked = group_rank(df, ["g"], ["a", "b"], "rank")
     assert ranked.columns == plain.columns
     assert sorted(map(tuple, ranked.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
 
 
 def test_texts_of_hot_groups_are_joined_whole(spark):
-    df = _rows(spark).withColumn("t", F.col("b").cast("string"))
-    plain = join_texts(df, ["g"], ["a", "b"], "t", "-", "cell")
-    pieces = join_texts(df, ["g"], ["a", "b"], "t", "-", "cell", limit=25)
-    assert sorted(map(tuple, pieces.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
-
-
-def test_hot_groups(spark):
-    assert hot_groups(_rows(spark), ["g"], 10_000) is None
-    assert {r["g"] for r in hot_groups(_rows(spark), ["g"], 30).collect()} == {"hot", None}
+    cells = dict(map(tuple, join_texts(_rows(spark).withColumn("t", F.col("b").cast("string")), ["g"], ["a", "b"], "t", "-", "cell").collect()))
+    groups = {}
+    for g, a, b in map(tuple, _rows(spark).collect()):
+        groups.setdefault(g, []).append((a, b))
+    assert cells == {g: "-".join(str(b) for _, b in sorted(rows)) for g, rows in groups.items()}

@@ -51,7 +51,7 @@ def test_increments_equal_one_run(spark):
 
 def test_repeated_batch_id_replaces_its_rows(spark):
     stream = PaperStream(fresh_dir(spark, "base"), VENUE, OPTS)
-    for t in (stream.notes, stream.forums, stream.review_rows, stream.paper_rows, stream.fields):
+    for t in (stream.notes, stream.forums, stream.review_rows, stream.paper_rows):
         t.create(spark)
     batch = notes_df(spark, venue_notes())
     stream._batch(batch, 0)
@@ -62,9 +62,27 @@ def test_repeated_batch_id_replaces_its_rows(spark):
     assert as_dicts(stream.reviews(spark), "note_id") == first
 
 
-def test_limit_is_refused():
-    with pytest.raises(ValueError):
-        PaperStream("base", VENUE, plan.Options(site="s", limit_per_bucket=3))
+def test_edits_and_late_rating_fields(spark):
+    landing = fresh_dir(spark, "landing")
+    stream = PaperStream(fresh_dir(spark, "base"), VENUE, OPTS)
+    _land(spark, [root("p"), note("p", "a", "Reviewer_a", 1, {"summary": "first", "rating": 3})], landing)
+    stream.run(spark, landing)
+    _land(spark, [note("p", "a", "Reviewer_a", 1, {"summary": "edited", "rating": 9})], landing)
+    _land(spark, [root("q"), note("q", "b", "Reviewer_b", 1, {"summary": "s", "rating": 2, "confidence": 4})], landing)
+    stream.run(spark, landing)
+    found = {r["note_id"]: r for r in as_dicts(stream.reviews(spark))}
+    assert "edited" in found["a"]["full_text"] and found["a"]["ratings"] == {"rating": "9", "confidence": ""}
+    assert found["b"]["ratings"] == {"rating": "2", "confidence": "4"}
+
+
+def test_limit_counts_finished_papers(spark):
+    landing = fresh_dir(spark, "landing")
+    limited = plan.Options(site="s", limit_per_bucket=1)
+    stream = PaperStream(fresh_dir(spark, "base"), VENUE, limited, buckets_df(spark, HEADINGS))
+    rows = [root(f, number=n) for n, f in enumerate("abc")]
+    _land(spark, rows, landing)
+    stream.run(spark, landing)
+    assert [r["forum"] for r in as_dicts(stream.papers(spark))] == ["a"]
 
 
 def test_profiles_found_later(spark):

@@ -44,13 +44,14 @@ def location(institution: Column) -> Column:
 
 
 def history_entries(history: Column) -> Column:
-    """array<struct<title,location,start,end>> of text, in the given order; an open end is `Present`."""
+    """array<struct<title,location,start,end>> of text, in the given order. Years are shown as they are, be they numbers
+    or text; only a missing end is `Present`."""
     return F.transform(
         history,
         lambda h: F.struct(
             _text(h["position"]).alias("title"),
             location(h["institution"]).alias("location"),
-            _text(h["start"].cast("string")).alias("start"),
-            F.coalesce(h["end"].cast("string"), F.lit("Present")).alias("end"),
+            _text(h["start"]).alias("start"),
+            F.coalesce(h["end"], F.lit("Present")).alias("end"),
         ),
     )

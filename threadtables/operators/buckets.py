@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from threadtables.functions import content as C
 from threadtables.functions import text as T
 from threadtables.operators.classify import in_venue
-from threadtables.operators.skew import HOT_ROWS, group_rank, small_enough_to_broadcast
+from threadtables.operators.skew import group_rank
 from threadtables.operators.threads import FORUM
 
-# Above this many rows per bucket the window would hold too many rows of one bucket in one task.
-WINDOW_TOP_N = 10_000
+# Parts of a bucket that are cut to their own first n before the whole is ranked.
+PARTS = 64
 
 
 def is_reject(decision: Column) -> Column:
@@ -25,13 +25,13 @@ def buckets_from_groups(groups: DataFrame) -> DataFrame:
     The heading map must be wrapped: a plain object gives no buckets. The rejected venue id may be either.
     """
     content = F.col("content")
-    parsed = groups.select("venue_id", C.parse(content).alias("parsed"), C.parse_raw(content).alias("raw"))
-    wrapped = F.try_variant_get(F.try_element_at("raw", F.lit("decision_heading_map")), "$.value", "map<string,string>")
-    headings = wrapped
+    # taken as JSON text: a VARIANT would sort the headings
+    headings = F.from_json(F.get_json_object(content, "$.decision_heading_map.value"), "map<string,string>")
+    parsed = groups.select("venue_id", C.parse(content).alias("parsed"), headings.alias("headings"))
     return parsed.select(
         "venue_id",
         F.nullif(C.content_value(F.col("parsed"), "rejected_venue_id"), F.lit("")).alias("rejected_venueid"),
-        F.posexplode(F.map_entries(headings)).alias("ord", "entry"),
+        F.posexplode(F.map_entries("headings")).alias("ord", "entry"),
     ).select("venue_id", "ord", F.col("entry.key").alias("venue_label"), F.col("entry.value").alias("decision"),
              "rejected_venueid")
 
@@ -61,7 +61,7 @@ def bucket_candidates(submissions: DataFrame, buckets: DataFrame) -> DataFrame:
     # a NULL array gives no rows: unlike a filter, this is not pushed below the parsing of the content
     own = F.when(in_venue(F.col("venueid"), F.col("venue_id")), keys)
     keyed = submissions.select("*", F.inline(own)).alias("s")
-    routes = small_enough_to_broadcast(_routes(buckets)).alias("b")
+    routes = _routes(buckets).alias("b")
     on = (
         (F.col("s.venue_id") == F.col("b.route_venue")) & (F.col("s.by_id") == F.col("b.by_id"))
         & (F.col("s.route_key") == F.col("b.route_key"))
@@ -70,13 +70,15 @@ def bucket_candidates(submissions: DataFrame, buckets: DataFrame) -> DataFrame:
 
 
 def top_n_per_bucket(candidates: DataFrame, n: int) -> DataFrame:
-    """The first n candidates of each bucket by number, then id."""
+    """The first n candidates of each bucket by number, then id.
+
+    Each bucket is cut in PARTS by hash of the forum; what is past n in its part is dropped, the rest ranked as a whole.
+    """
     keys, order = ["venue_id", "ord"], ["number", "forum"]
-    if n > WINDOW_TOP_N:
-        ranked = group_rank(candidates, keys, order, "_n", HOT_ROWS)
-    else:
-        ranked = candidates.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.where(F.col("_n") <= n).drop("_n")
+    part = F.pmod(F.xxhash64("forum"), F.lit(PARTS))
+    in_part = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
+    first = candidates.withColumn("_part", part).withColumn("_n", in_part).where(F.col("_n") <= n).drop("_n", "_part")
+    return group_rank(first, keys, order, "_n").where(F.col("_n") <= n).drop("_n")
 
 
 def drop_reject_without_reviews(candidates: DataFrame, review_counts: DataFrame) -> DataFrame:

@@ -11,8 +11,6 @@ from threadtables.functions import text as T
 from threadtables.operators.classify import REVIEW
 from threadtables.operators.threads import FORUM
 
-MAX_RATING_FIELDS = 1_000
-
 
 def field_class(key: Column, rating_fields: list[str], text_fields: list[str] = FL.REVIEW_TEXT_FIELDS) -> Column:
     """What a review key is used for."""
@@ -52,9 +50,7 @@ def discover_rating_fields(parts: DataFrame, venue_id: str, submissions: DataFra
         found = rating_field_counts(mine)
     else:
         found = sample_rating_fields(mine, submissions.where(F.col("venue_id") == venue_id))
-    rows = found.orderBy("position", "field").select("field").take(MAX_RATING_FIELDS + 1)
-    if len(rows) > MAX_RATING_FIELDS:
-        raise ValueError(f"more than {MAX_RATING_FIELDS} rating fields; name the ones to keep")
+    rows = found.orderBy("position", "field").select("field").collect()
     return [r["field"] for r in rows] or list(default)
 
 

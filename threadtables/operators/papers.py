@@ -9,7 +9,7 @@ from threadtables.functions import content as C
 from threadtables.functions import fields as FL
 from threadtables.functions import text as T
 from threadtables.operators.classify import DECISION, META_REVIEW, OTHER, REPLY, REVIEW, SUBMISSION, classify
-from threadtables.operators.skew import HOT_ROWS, HOT_TEXTS, group_rank, join_texts
+from threadtables.operators.skew import group_rank, join_texts
 from threadtables.operators.threads import FORUM, with_target
 
 REVIEW_ORDER = ["reviewer", "seq", "note_id"]
@@ -75,8 +75,8 @@ def root_notes(parts: DataFrame) -> DataFrame:
     return parts.where(F.col("part") == SUBMISSION).select(*FORUM, "id", "number", F.col("text").alias("content"))
 
 
-def reviews(parts: DataFrame, rating_fields: list[str]) -> DataFrame:
-    """One row per official review, not yet numbered."""
+def scored_reviews(parts: DataFrame) -> DataFrame:
+    """One row per official review, not yet numbered, with all its rating-like values as `scores`."""
     return parts.where(F.col("part") == REVIEW).select(
         *FORUM,
         F.col("id").alias("note_id"),
@@ -84,10 +84,21 @@ def reviews(parts: DataFrame, rating_fields: list[str]) -> DataFrame:
         T.handle(F.col("signature")).alias("reviewer"),
         F.col("signature").alias("reviewer_signature"),
         F.col("text").alias("full_text"),
-        C.pick(F.col("scores"), rating_fields).alias("ratings"),
+        "scores",
     )
 
 
+def with_ratings(review_rows: DataFrame, rating_fields: list[str]) -> DataFrame:
+    """`ratings`, the given fields of `scores` in the given order, in its place."""
+    ratings = C.pick(F.col("scores"), rating_fields).alias("ratings")
+    return review_rows.select(*(ratings if c == "scores" else F.col(c) for c in review_rows.columns))
+
+
+def reviews(parts: DataFrame, rating_fields: list[str]) -> DataFrame:
+    """One row per official review, not yet numbered."""
+    return with_ratings(scored_reviews(parts), rating_fields)
+
+
 def review_counts(parts: DataFrame) -> DataFrame:
     return parts.where(F.col("part") == REVIEW).groupBy(*FORUM).agg(F.count(F.lit(1)).alias("n_reviews"))
 
@@ -115,16 +126,16 @@ def replies_with_target(parts: DataFrame, targets: DataFrame) -> DataFrame:
     return with_target(author_replies(parts), targets)
 
 
-def merge_rebuttals(replies: DataFrame, separator: str = FL.REPLY_SEPARATOR, limit: int = HOT_TEXTS) -> DataFrame:
+def merge_rebuttals(replies: DataFrame, separator: str = FL.REPLY_SEPARATOR) -> DataFrame:
     """One cell per answered review, replies in posting order."""
     answered = replies.where("target IS NOT NULL").withColumnRenamed("target", "note_id")
-    return join_texts(answered, [*FORUM, "note_id"], REPLY_ORDER, "text", separator, "rebuttal_text", limit)
+    return join_texts(answered, [*FORUM, "note_id"], REPLY_ORDER, "text", separator, "rebuttal_text")
 
 
-def general_response(replies: DataFrame, separator: str = FL.REPLY_SEPARATOR, limit: int = HOT_TEXTS) -> DataFrame:
+def general_response(replies: DataFrame, separator: str = FL.REPLY_SEPARATOR) -> DataFrame:
     """One cell per forum, of the replies that answer no review."""
     general = replies.where("target IS NULL")
-    return join_texts(general, FORUM, REPLY_ORDER, "text", separator, "general_response", limit)
+    return join_texts(general, FORUM, REPLY_ORDER, "text", separator, "general_response")
 
 
 def attach_rebuttals(review_rows: DataFrame, rebuttals: DataFrame) -> DataFrame:
@@ -134,9 +145,9 @@ def attach_rebuttals(review_rows: DataFrame, rebuttals: DataFrame) -> DataFrame:
     )
 
 
-def number_reviews(review_rows: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
+def number_reviews(review_rows: DataFrame) -> DataFrame:
     """Add `review_idx`: 1..N per forum in handle order."""
-    return group_rank(review_rows, FORUM, REVIEW_ORDER, "review_idx", limit)
+    return group_rank(review_rows, FORUM, REVIEW_ORDER, "review_idx")
 
 
 def collect_reviews(review_rows: DataFrame) -> DataFrame:

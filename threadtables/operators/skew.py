@@ -1,9 +1,4 @@
-"""Ranking and joining text inside groups of any size.
-
-A normal group is handled by one window or aggregate. A hot group, one with more rows than `limit`, is cut by
-splitters drawn from its own order keys by hash, so the cut depends on the data alone and a re-run task sees the
-same pieces. Pieces that are still too large are cut again.
-"""
+"""Ranking rows and joining texts inside groups of any size, on one path for all groups."""
 
 from __future__ import annotations
 
@@ -14,83 +9,33 @@ from pyspark.sql import functions as F
 
 from threadtables.session import stage
 
-HOT_ROWS = 1_000_000
-# Texts are long: fewer of them make a task's share.
-HOT_TEXTS = 10_000
-_PIECES = 256
-_MAX_DEPTH = 6
-
 
 def same(left: str, right: str, keys: list[str]) -> Column:
     """Null-safe equality of the keys of two aliased tables."""
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
 
-def hot_groups(df: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
-    """Keys and row counts `n` of the groups above the limit; None when there are none."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
-    return None if counts.isEmpty() else stage(counts, "hot-groups")
-
-
-def _with_piece(df: DataFrame, keys: list[str], order: list[str], hot: DataFrame, piece: str) -> DataFrame:
-    """Rows of the hot groups with the number of splitters at or below them."""
-    position = F.struct(*order)
-    sized = df.alias("d").join(hot.alias("h"), same("d", "h", keys)).select("d.*", "h.n")
-    every = F.greatest(F.floor(F.col("n") / _PIECES), F.lit(1))
-    drawn = sized.where(F.pmod(F.xxhash64(*order), every) == 0)
-    splitters = stage(drawn.groupBy(*keys).agg(F.sort_array(F.collect_set(position)).alias("splitters")), "splitters")
-    below = F.size(F.filter("splitters", lambda s: s <= F.struct(*[F.col(f"d.{o}") for o in order])))
+def group_rank(df: DataFrame, keys: list[str], order: list[str], out: str = "rank") -> DataFrame:
+    """1..n within each group in the given (unique) order.
+
+    The rows are written once, sorted by range over all groups together, so a group may fill many partitions. A row's
+    rank is its place in its partition less the place of its group's first row there, plus the rows of the group in the
+    partitions before: only these counts are joined back.
+    """
+    placed = stage(
+        df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+        .withColumn("_place", F.monotonically_increasing_id()), "ranked")
+    placed = placed.withColumn("_part", F.shiftright("_place", 33))
+    heads = placed.groupBy(*keys, "_part").agg(F.min("_place").alias("head"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = heads.select(*keys, "_part", (F.coalesce(before, F.lit(0)) - F.col("head") + 1).alias("shift"))
     return (
-        df.alias("d")
-        .join(hot.alias("h"), same("d", "h", keys), "left_semi")
-        .join(splitters.alias("s"), same("d", "s", keys), "left")
-        .select("d.*", F.when(F.col("splitters").isNull(), 0).otherwise(below).alias(piece))
-    )
-
-
-def group_rank(df: DataFrame, keys: list[str], order: list[str], out: str = "rank", limit: int = HOT_ROWS,
-               depth: int = 0) -> DataFrame:
-    """1..n within each group in the given (unique) order, without putting a hot group into one task."""
-    plain = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
-    hot = hot_groups(df, keys, limit) if depth < _MAX_DEPTH else None
-    if hot is None:
-        return df.withColumn(out, plain)
-
-    piece = f"_piece{depth}"
-    cold = df.alias("d").join(hot.alias("h"), same("d", "h", keys), "left_anti").withColumn(out, plain)
-    cut = stage(_with_piece(df, keys, order, hot, piece), "hot-rows")
-    sizes = cut.groupBy(*keys, piece).agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.partitionBy(*keys).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = stage(sizes.select(*keys, piece, F.coalesce(before, F.lit(0)).alias("before")), "offsets")
-    inner = group_rank(cut, keys + [piece], order, out, limit, depth + 1)
-    ranked = (
-        inner.alias("d")
-        .join(offsets.alias("o"), same("d", "o", keys + [piece]))
-        .select("d.*", "o.before")
-        .withColumn(out, F.col(out) + F.col("before"))
-        .drop("before", piece)
+        placed.alias("d").join(offsets.alias("o"), same("d", "o", keys + ["_part"])).select("d.*", "o.shift")
+        .withColumn(out, F.col("_place") + F.col("shift")).drop("_place", "_part", "shift")
     )
-    return cold.unionByName(ranked)
-
-
-def join_texts(df: DataFrame, keys: list[str], order: list[str], text: str, separator: str, out: str,
-               limit: int = HOT_TEXTS) -> DataFrame:
-    """One cell per group: its texts in order. A hot group is joined in pieces first, then piece by piece."""
-
-    def joined(rows: DataFrame, by: list[str], sort: list[str], value: str) -> DataFrame:
-        parts = F.array_sort(F.collect_list(F.struct(*sort, F.col(value).alias("_text"))))
-        return rows.groupBy(*by).agg(F.array_join(F.transform(parts, lambda p: p["_text"]), separator).alias(out))
-
-    hot = hot_groups(df, keys, limit)
-    if hot is None:
-        return joined(df, keys, order, text)
-    cold = df.alias("d").join(hot.alias("h"), same("d", "h", keys), "left_anti")
-    rest = df.alias("d").join(hot.alias("h"), same("d", "h", keys), "left_semi")
-    ranked = group_rank(rest, keys, order, "_rank", limit)
-    pieces = joined(ranked.withColumn("_part", F.floor((F.col("_rank") - 1) / limit)), keys + ["_part"], order, text)
-    return joined(cold, keys, order, text).unionByName(joined(pieces, keys, ["_part"], out))
 
 
-def small_enough_to_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint for a table counted to be small; a larger one is left to a shuffle join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def join_texts(df: DataFrame, keys: list[str], order: list[str], text: str, separator: str, out: str) -> DataFrame:
+    """One cell per group: its texts in order. The cell is one value, so it bounds what is gathered for it."""
+    parts = F.array_sort(F.collect_list(F.struct(*order, F.col(text).alias("_text"))))
+    return df.groupBy(*keys).agg(F.array_join(F.transform(parts, lambda p: p["_text"]), separator).alias(out))

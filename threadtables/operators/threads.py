@@ -48,14 +48,15 @@ def resolve_targets(parts: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
     The walk follows distinct starts, not replies, so many answers to one note are one row here. It runs a few
     joins at a time and stops as soon as no chain is open; a missing parent, the hop limit or a cycle end a chain.
     """
-    nodes = _nodes(parts)
     frontier = (
-        parts.where((F.col("part") == REPLY) & (F.col("replyto") != ""))
+        parts.where((F.col("part") == REPLY) & (F.col("replyto") != "") & (F.col("replyto") != F.col("forum")))
         .select(*FORUM, F.col("replyto").alias("start")).distinct()
         .select("*", F.lit(None).cast("string").alias("target"), F.col("start").alias("cur"))
     )
     if frontier.isEmpty():
         return frontier.select(*FORUM, "start", "target")
+    open_forums = frontier.select(*FORUM).distinct()
+    nodes = stage(_nodes(parts.join(open_forums, FORUM, "left_semi")), "answered-notes")
     resolved, left = [], max_hops
     while left > 0:
         for _ in range(min(left, HOPS_PER_ROUND)):
@@ -70,9 +71,12 @@ def resolve_targets(parts: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
 
 
 def with_target(replies: DataFrame, targets: DataFrame) -> DataFrame:
-    """Replies with the review they answer, NULL for those aimed at the whole forum."""
+    """Replies with the review they answer, NULL for those aimed at the whole forum, which are not looked up."""
+    to_note = F.col("replyto").isNotNull() & (F.col("replyto") != F.col("forum"))
+    rest = replies.where(~to_note).withColumn("target", F.lit(None).cast("string"))
     on = [F.col(f"r.{k}") == F.col(f"t.{k}") for k in FORUM] + [F.col("r.replyto") == F.col("t.start")]
-    return replies.alias("r").join(targets.alias("t"), on, "left").select("r.*", "t.target")
+    aimed = replies.where(to_note).alias("r").join(targets.alias("t"), on, "left").select("r.*", "t.target")
+    return aimed.unionByName(rest)
 
 
 def reply_parent(notes: DataFrame) -> DataFrame:

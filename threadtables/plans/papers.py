@@ -11,15 +11,10 @@ from threadtables.functions import fields as FL
 from threadtables.operators import buckets as B
 from threadtables.operators import papers as P
 from threadtables.operators.discovery import discover_rating_fields
-from threadtables.operators.reshape import max_reviews
-from threadtables.operators.skew import HOT_ROWS, HOT_TEXTS
 from threadtables.operators.threads import FORUM, MAX_HOPS, resolve_targets
 from threadtables.session import stage
 from threadtables.sources import schemas
 
-# A nested row holds all reviews of its paper.
-MAX_NESTED = 100_000
-
 
 @dataclass(frozen=True)
 class Options:
@@ -33,8 +28,6 @@ class Options:
     separator: str = FL.REPLY_SEPARATOR
     max_hops: int = MAX_HOPS
     limit_per_bucket: int | None = None
-    hot_rows: int = HOT_ROWS
-    hot_texts: int = HOT_TEXTS
 
 
 def thread_parts(notes: DataFrame, opts: Options) -> DataFrame:
@@ -54,8 +47,12 @@ def staged_replies(parts: DataFrame, opts: Options) -> DataFrame:
 
 def review_table(parts: DataFrame, replies: DataFrame, rating_fields: list[str], opts: Options) -> DataFrame:
     """Every official review with the authors' answer to it, not numbered."""
-    rebuttals = P.merge_rebuttals(replies, opts.separator, opts.hot_texts)
-    return P.attach_rebuttals(P.reviews(parts, rating_fields), rebuttals)
+    return P.with_ratings(scored_review_table(parts, replies, opts), rating_fields)
+
+
+def scored_review_table(parts: DataFrame, replies: DataFrame, opts: Options) -> DataFrame:
+    """The same with every rating-like value, for runs that do not know the rating fields yet."""
+    return P.attach_rebuttals(P.scored_reviews(parts), P.merge_rebuttals(replies, opts.separator))
 
 
 def chosen_submissions(parts: DataFrame, buckets: DataFrame, opts: Options) -> DataFrame:
@@ -71,7 +68,7 @@ def paper_table(parts: DataFrame, replies: DataFrame, buckets: DataFrame, opts:
     papers = (
         chosen_submissions(parts, buckets, opts)
         .join(P.decision_and_meta(parts), FORUM, "left")
-        .join(P.general_response(replies, opts.separator, opts.hot_texts), FORUM, "left")
+        .join(P.general_response(replies, opts.separator), FORUM, "left")
     )
     text = {c: F.coalesce(c, F.lit("")) for c in ("meta_review_text", "meta_reviewer_handle", "general_response")}
     return papers.withColumns(text).withColumn("type", F.coalesce("decision", "bucket")).select(
@@ -81,15 +78,30 @@ def paper_table(parts: DataFrame, replies: DataFrame, buckets: DataFrame, opts:
     )
 
 
+def last_copies(notes: DataFrame) -> DataFrame:
+    """Each note once: of several copies of an id the one with the greatest `seq`, then content.
+
+    Repeated ids are found from the keys alone; only their rows are gathered.
+    """
+    keys = [*FORUM, "id"]
+    again = notes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
+    repeated = notes.join(again, keys, "left_semi")
+    last = repeated.groupBy(*keys).agg(F.max_by(F.struct(*notes.columns), F.struct("seq", "content")).alias("row"))
+    return notes.join(again, keys, "left_anti").select(*notes.columns).unionByName(last.select("row.*"))
+
+
 def assemble(notes: DataFrame, buckets: DataFrame, opts: Options, rating_fields: list[str] | None = None,
              venue_id: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(papers, reviews) of the chosen papers; contents are parsed once and chains walked once.
 
-    Without `rating_fields` those of `venue_id` are discovered.
+    Without `rating_fields` those of `venue_id` are discovered. A note that landed more than once counts once, as its
+    last copy by `seq`. Without any bucket there is nothing to sort papers into, which is an error.
     """
     if rating_fields is None and venue_id is None:
         raise ValueError("give rating_fields, or the venue_id to discover them for")
-    parts = staged_parts(notes, opts)
+    if buckets.isEmpty():
+        raise ValueError("no decision buckets were found")
+    parts = staged_parts(last_copies(notes), opts)
     if rating_fields is None:
         rating_fields = discover_rating_fields(parts, venue_id)
     replies = staged_replies(parts, opts)
@@ -100,15 +112,13 @@ def assemble(notes: DataFrame, buckets: DataFrame, opts: Options, rating_fields:
 
 def long_reviews(reviews: DataFrame, opts: Options) -> DataFrame:
     """The core table: one row per review, numbered in handle order within its paper."""
-    return P.number_reviews(reviews, opts.hot_rows).select(
+    return P.number_reviews(stage(reviews, "reviews")).select(
         *FORUM, "review_idx", "reviewer", "reviewer_signature", "note_id", "full_text", "ratings", "rebuttal_text"
     )
 
 
 def nested_papers(papers: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Papers with their reviews nested: the row a JSON-lines export holds. Its size is checked before."""
-    if max_reviews(papers) > MAX_NESTED:
-        raise ValueError(f"a paper has more than {MAX_NESTED} reviews, too many for one row; use the long table")
+    """Papers with their reviews nested: the row a JSON-lines export holds."""
     none = F.array().cast(f"array<{schemas.REVIEW}>")
     return papers.join(P.collect_reviews(reviews), FORUM, "left").withColumn(
         "reviews", F.coalesce("reviews", none)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -11,16 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for staged tables: `spark.checkpoint.dir`; only a local session may make its own."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="threadtables-"))
-    return sc.getCheckpointDir().rstrip("/")
+    """Shared folder for staged tables: `spark.checkpoint.dir`, or what the caller gave `setCheckpointDir`."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return shared.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:

@@ -1,4 +1,4 @@
-"""Reads landed notes, venue groups, profiles, and tables written before."""
+"""Reads landed notes, venue groups, profiles, and tables written before. A line that is not JSON stops the read."""
 
 from __future__ import annotations
 
@@ -10,18 +10,26 @@ from pyspark.sql import functions as F
 from threadtables.sources import schemas
 
 
+#: Broken lines are an error, in batch and in streams; else they would become rows of NULLs.
+STRICT = {"mode": "FAILFAST"}
+
+
+def _json(spark: SparkSession, schema: str, path: str) -> DataFrame:
+    return spark.read.schema(schema).options(**STRICT).json(path)
+
+
 def scan_notes(spark: SparkSession, path: str) -> DataFrame:
     """Landed notes as JSON lines; `content` may be an object or a string holding one, and is kept as JSON text."""
-    return spark.read.schema(schemas.NOTES).json(path)
+    return _json(spark, schemas.NOTES, path)
 
 
 def scan_groups(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.GROUPS).json(path)
+    return _json(spark, schemas.GROUPS, path)
 
 
 def scan_profiles(spark: SparkSession, path: str) -> DataFrame:
     """Landed profiles; a row without `query_id` was asked for by its own id."""
-    return with_query_id(spark.read.schema(schemas.PROFILES).json(path))
+    return with_query_id(_json(spark, schemas.PROFILES, path))
 
 
 def with_query_id(profiles: DataFrame) -> DataFrame:
@@ -30,12 +38,12 @@ def with_query_id(profiles: DataFrame) -> DataFrame:
 
 def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The author ids of a paper run; reading fails when the folder is missing."""
-    return spark.read.schema("author_id string").json(path)
+    return _json(spark, "author_id string", path)
 
 
 def scan_nested_papers(spark: SparkSession, path: str) -> DataFrame:
     """Nested papers from JSON lines, with defaults for keys that an older file lacks."""
-    papers = spark.read.schema(schemas.PAPERS_NESTED).json(path)
+    papers = _json(spark, schemas.PAPERS_NESTED, path)
     texts = ["keywords", "abstract", "primary_area", "meta_review_text", "meta_reviewer_handle", "general_response",
              "bucket"]
     defaults = {c: F.coalesce(c, F.lit("")) for c in texts}
@@ -48,6 +56,7 @@ def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV table of text cells; empty cells come back as ''."""
     df = (
         spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+        .option("maxColumns", 1_000_000)
         .option("inferSchema", False).csv(path)
     )
     return _filled(df)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from threadtables.sources import schemas
-from threadtables.sources.readers import with_query_id
+from threadtables.sources.readers import STRICT, with_query_id
 from threadtables.streaming.tables import BatchTable, first_copies
 
 
@@ -19,7 +19,7 @@ class ProfileStream:
     def run(self, spark: SparkSession, landing: str, max_files_per_batch: int | None = None) -> None:
         """Take in everything that landed since the last run, then stop."""
         self.table.create(spark)
-        source = spark.readStream.schema(schemas.PROFILES)
+        source = spark.readStream.schema(schemas.PROFILES).options(**STRICT)
         if max_files_per_batch:
             source = source.option("maxFilesPerTrigger", max_files_per_batch)
         query = (
