@@ -184,8 +184,8 @@ def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         shape = (key + i) % 8
         return F.struct(
             F.when(i % 4 != 3, _text("Position ", i.cast("string"))).alias("position"),
-            F.when(i != 2, (F.lit(1990) + (key + i * 3) % 30).cast("int")).alias("start"),
-            F.when(i != key % 6, (F.lit(1991) + (key + i * 3) % 30).cast("int")).alias("end"),
+            F.when(i != 2, (F.lit(1990) + (key + i * 3) % 30).cast("string")).alias("start"),
+            F.when(i != key % 6, (F.lit(1991) + (key + i * 3) % 30).cast("string")).alias("end"),
             F.struct(
                 F.when(shape % 2 == 1, nation).alias("name"),
                 F.when(F.floor(shape / 2) % 2 == 1, _text(F.lower(nation), ".example")).alias("domain"),
