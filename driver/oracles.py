@@ -114,6 +114,8 @@ SELECT r.forum, r.id, r.replyto, g.target FROM replies r LEFT JOIN targets g ON
 SELECT t.forum, t.id, coalesce(p.signature, o.signature) AS parent_signature FROM t
 LEFT JOIN t p ON p.id = t.replyto LEFT JOIN roots o ON o.forum = t.replyto
 UNION ALL SELECT forum, forum, NULL FROM roots"""),
+        "scan_notes": threads("""
+SELECT forum, id, replyto, turn AS seq FROM t UNION ALL SELECT forum, forum, NULL, -1 FROM roots"""),
         "forum_notes": "SELECT 'f' || conv_id AS forum, count(*) + 1 AS notes FROM conversations GROUP BY 1",
         "note_kinds": threads(f"""
 SELECT {KIND} AS kind, k = 'reply' AND body <> '' AS is_reply, {INVITATION} AS invitation,
@@ -302,6 +304,15 @@ SELECT forum, bucket, ord FROM candidates QUALIFY row_number() OVER (PARTITION B
 SELECT forum, bucket, o_orderkey AS number FROM candidates
 QUALIFY row_number() OVER (PARTITION BY ord ORDER BY o_orderkey, forum) <= 100"""),
         "drop_reject_without_reviews": orders("SELECT forum, bucket, n_reviews FROM papers"),
+        "top_5000_per_bucket": orders("""
+SELECT forum, bucket, o_orderkey AS number FROM candidates
+QUALIFY row_number() OVER (PARTITION BY ord ORDER BY o_orderkey, forum) <= 5000"""),
+        "buckets_from_groups": orders(f"""
+SELECT CAST(row_number() OVER (ORDER BY ord DESC) - 1 AS INT) AS ord, venue_label, bucket AS decision,
+  '{VENUE}/Rejected_Submission' AS rejected_venueid FROM buckets"""),
+        "pending_forums": orders("SELECT forum FROM subs ANTI JOIN papers USING (forum)"),
+        "sample_papers": orders("SELECT forum, type FROM papers ORDER BY o_orderkey, forum LIMIT 20"),
+        "bucket_files_both": orders("SELECT link, title, authors, abstract, type, meta_review_text AS meta FROM papers"),
         "paper_rows": orders("""
 SELECT forum, type, bucket, meta_review_text, meta_reviewer_handle, general_response, n_reviews FROM papers"""),
         "long_reviews": orders(f"""
@@ -396,6 +407,7 @@ SELECT {link}, name AS "Name", history_idx, title, location, start, "end" FROM p
     return {
         "author_table": _author_table(),
         "long_history": authors(history),
+        "scan_profiles": authors(history),
         "unpivot_history": authors(history + " WHERE title <> ''"),
         "manifest_profiles": authors("SELECT author_id, id FROM ids JOIN profiles ON query_id = author_id"),
         "missing_profiles": authors("SELECT author_id FROM ids ANTI JOIN profiles ON query_id = author_id"),

@@ -172,6 +172,16 @@ def top_n_per_bucket(spark, d):
     return B.top_n_per_bucket(_candidates(spark, d), 100).select("forum", "bucket", "number")
 
 
+def top_5000_per_bucket(spark, d):
+    return B.top_n_per_bucket(_candidates(spark, d), 5_000).select("forum", "bucket", "number")
+
+
+def buckets_from_groups(spark, d):
+    path = fresh_dir(spark, "groups")
+    X.order_groups(spark, d).write.json(path)
+    return B.buckets_from_groups(readers.scan_groups(spark, path)).select("ord", "venue_label", "decision", "rejected_venueid")
+
+
 def drop_reject_without_reviews(spark, d):
     counts = P.review_counts(P.thread_parts(X.order_replies(spark, d)))
     kept = B.first_bucket(B.drop_reject_without_reviews(_candidates(spark, d), counts))
@@ -188,6 +198,16 @@ def paper_rows(spark, d):
                          "n_reviews")
 
 
+def pending_forums(spark, d):
+    papers, _ = _order_papers(spark, d)
+    return stream_papers.pending_forums(X.order_submissions(spark, d), papers).select("forum")
+
+
+def sample_papers(spark, d):
+    papers, _ = _order_papers(spark, d)
+    return R.sample_rows(papers, ["submission_number", "forum"], 20).select("forum", "type")
+
+
 def long_reviews(spark, d):
     # numbering looks at the rows more than once, so they are written before
     rows = stage(P.reviews(P.thread_parts(X.order_replies(spark, d)), X.ORDER_RATINGS), "reviews")
@@ -241,6 +261,12 @@ def author_table(spark, d):
     return R.wide_history(A.author_table(X.customer_profiles(spark, d), X.SITE))
 
 
+def scan_profiles(spark, d):
+    path = fresh_dir(spark, "profiles")
+    writers.write_nested(X.customer_profiles(spark, d), path)
+    return A.long_history(A.author_table(readers.scan_profiles(spark, path), X.SITE))
+
+
 def long_history(spark, d):
     return A.long_history(A.author_table(X.customer_profiles(spark, d), X.SITE))
 
@@ -306,6 +332,20 @@ def bucket_files_union(spark, d):
     return union.join(long, "link", "left").select("link", "title", "type", F.coalesce("reviews", F.lit(0)).alias("reviews"))
 
 
+def bucket_files_both(spark, d):
+    """Both formats are written; the text files are read back."""
+    papers, reviews = _order_papers(spark, d)
+    out = fresh_dir(spark, "buckets")
+    writers.write_per_bucket(papers, reviews, X.ORDER_RATINGS, X.VENUE, out, "both")
+    return writers.load_bucket_tables(spark, out, X.VENUE, "csv").select("link", "title", "authors", "abstract", "type", F.col("Meta Review").alias("meta"))
+
+
+def scan_notes(spark, d):
+    path = fresh_dir(spark, "notes")
+    X.thread_notes(spark, d).write.json(path)
+    return readers.scan_notes(spark, path).select("forum", "id", "replyto", "seq")
+
+
 def jsonl_roundtrip(spark, d):
     papers, reviews = _order_papers(spark, d)
     path = fresh_dir(spark, "jsonl")
@@ -359,5 +399,6 @@ ALL = [
     wide_reviews, unpivot_wide, first_per_type, first_match_or_first, venue_label_counts, author_table, long_history,
     unpivot_history, manifest_profiles, missing_profiles, paper_authors, profile_key_census, key_contains,
     csv_roundtrip, parquet_text_roundtrip, bucket_files_union, jsonl_roundtrip, id_manifest_roundtrip,
-    incremental_papers, incremental_profiles,
+    incremental_papers, incremental_profiles, top_5000_per_bucket, buckets_from_groups, scan_profiles, pending_forums,
+    sample_papers, bucket_files_both, scan_notes,
 ]

@@ -174,6 +174,15 @@ def order_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The venue as it lands: its buckets as a heading map, the lowest priority first."""
+    entry = F.struct(F.col("ord").alias("place"), F.col("venue_label").alias("key"), F.col("decision").alias("value"))
+    listed = F.sort_array(F.collect_list(entry), asc=False)
+    headings = F.map_from_entries(F.transform(listed, lambda e: F.struct(e["key"], e["value"])))
+    return order_buckets(spark, sf_dir).groupBy("venue_id").agg(headings.alias("headings")).select(
+        "venue_id", _json(decision_heading_map=_wrapped(F.col("headings")), rejected_venue_id=F.lit(REJECTED)).alias("content"))
+
+
 # ---- profiles from customer and nation ----
 
 def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
