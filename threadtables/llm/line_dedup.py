@@ -44,7 +44,9 @@ def _shingle(encoded: Column, at: Column) -> Column:
 
 def _banded(lines: DataFrame) -> DataFrame:
     """line_id, band: the bands of each line's signature. Shingles are hashed and their least values taken as they come."""
-    rows = lines.select("line_id", F.encode("line", "UTF-32").alias("encoded"), F.explode(F.sequence(F.lit(0), _last_start(F.col("line")))).alias("at"))
+    # in a step of its own, or each shingle would encode the line anew
+    encoded = lines.select("line_id", F.encode("line", "UTF-32").alias("encoded"), _last_start(F.col("line")).alias("last"))
+    rows = encoded.select("line_id", "encoded", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("at"))
     hashed = rows.select("line_id", F.hash(_shingle(F.col("encoded"), F.col("at"))).alias("h"))
     least = hashed.groupBy("line_id").agg(*(F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(_masks())))
     bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
@@ -52,8 +54,10 @@ def _banded(lines: DataFrame) -> DataFrame:
 
 
 def _shingles(line: str) -> Column:
-    encoded = F.encode(line, "UTF-32")
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), _last_start(F.col(line))), lambda at: F.xxhash64(_shingle(encoded, at))))
+    places = F.sequence(F.lit(0), _last_start(F.col(line)))
+    # the outer function binds the encoded line, or each shingle would encode it anew
+    once = F.transform(F.array(F.encode(line, "UTF-32")), lambda encoded: F.transform(places, lambda at: F.xxhash64(_shingle(encoded, at))))
+    return F.array_distinct(F.get(once, F.lit(0)))
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
@@ -73,15 +77,17 @@ def similar_lines(lines: DataFrame, percent: int = 80) -> DataFrame:
     2n pairs a round and never all of them.
     """
     active = stage(_banded(lines), "bands")
-    links = None
+    links = near_lines = None
     while True:
         ends = active.groupBy("band").agg(F.min("line_id").alias("lo"), F.max("line_id").alias("hi")).where("lo < hi")
         met = stage(active.join(ends, "band"), "met")
         if met.isEmpty():
             break
+        if near_lines is None:  # only lines that share a band are ever compared
+            near_lines = stage(lines.join(met.select("line_id").distinct(), "line_id", "left_semi"), "near-lines")
         pairs = met.select("line_id", F.explode(F.array("lo", "hi")).alias("end")).where("line_id <> end")
         pairs = pairs.select(F.least("line_id", "end").alias("a"), F.greatest("line_id", "end").alias("b")).distinct()
-        found = stage(_verified(pairs, lines, percent), "line-links")
+        found = stage(_verified(pairs, near_lines, percent), "line-links")
         links = found if links is None else links.unionByName(found)
         left = met.where("line_id <> lo and line_id <> hi")
         for end in ("lo", "hi"):
@@ -111,11 +117,12 @@ def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     gone = places.join(first, "line_group").where("not (id = kept.id and crc = kept.crc and pos = kept.pos)")
     gone = gone.groupBy("id", "crc").agg(F.collect_set("pos").alias("gone"))
     text = F.split("text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "gone")
+    # the outer function binds the parted text, or each line would part it anew
+    left = F.transform(F.array("parts"), lambda own: F.transform(F.array_except(F.sequence(F.lit(0), F.size(own) - 1), "gone"), lambda i: F.get(own, i)))
     rows = _keyed(docs).join(gone, ["id", "crc"], "left").withColumn("parts", text)
     return rows.select(
         F.nullif("id", F.lit(_NO_ID)).alias("doc_id"), F.coalesce(F.size("parts"), F.lit(0)).alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get("parts", i)), "\n")).alias("text"))
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.get(left, F.lit(0)), "\n")).alias("text"))
 
 
 def drop_emptied(docs: DataFrame, deduped: DataFrame) -> DataFrame:
