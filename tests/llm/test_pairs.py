@@ -178,6 +178,30 @@ def test_line_dedup_equals_all_pairs(spark):
     assert sum(e[1] for e in expected.values()) > 40
 
 
+def test_similar_lines_through_a_middle_line(spark):
+    """Copies of one line with a word changed each are similar to it but few to each other: one component, though the
+    line they share is neither the least nor the greatest."""
+    rng = random.Random(12)
+    base = words(rng, 24)
+    lines = {" ".join(base[:k] + [f"new{d}"] + base[k + 1:]) for d in range(300) for k in [rng.randrange(24)]}
+    lines = sorted(lines)
+    lines.insert(len(lines) // 2, " ".join(base))
+    links = line_dedup.similar_lines(spark.createDataFrame(list(enumerate(lines)), "line_id long, line string"))
+    assert sorted(map(tuple, components.connected(links).collect())) == [(i, 0) for i in range(1, len(lines))]
+
+
+def test_line_dedup_along_a_chain(spark):
+    """Each line is similar to its neighbours only."""
+    rng = random.Random(13)
+    w = words(rng, 40)
+    rows = []
+    for d in range(40):
+        w[d] = words(rng, 1)[0] + "x"
+        rows.append((d * 7 % 40, " ".join(w)))
+    found = {r[0]: tuple(r)[1:] for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
+    assert found == plain_lines(rows)
+
+
 def test_line_dedup_odd_rows(spark):
     assert line_dedup.dedup_lines(frame(spark, [])).collect() == []
     rows = frame(spark, [(1, "a line of text\nmore"), (1, "a line of text\nmore"), (2, "a line of text"), (None, "more"), (3, "")])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from threadtables.llm.components import connected
+from threadtables.llm.ranks import group_slots
 from threadtables.session import stage
 
 #: Characters of a shingle.
@@ -70,31 +71,37 @@ def _verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
 
 
 def similar_lines(lines: DataFrame, percent: int = 80) -> DataFrame:
-    """a, b: links between different lines (line_id, line), enough to connect all found to be similar.
+    """a, b: links between different lines (line_id, line) that connect all similar lines that share a band.
 
-    Lines that share a band meet two of them, the least and the greatest id, and are compared exactly. Who is similar
-    to neither meets the next two of its band, until no band is left with two lines; so a band of n lines makes at most
-    2n pairs a round and never all of them.
+    The lines of each band are ranked, those first that meet most others. In each round the next ranks of every band
+    (1, then 3, 12, 48, ...) are probes: each is compared exactly with all lines ranked after it that are not yet in
+    its component. A line that was linked stays a probe for the rest. A band is left once the lines not yet probed are
+    in one component, so in the end every pair of each band was compared or is connected.
     """
-    active = stage(_banded(lines), "bands")
-    links = near_lines = None
-    while True:
-        ends = active.groupBy("band").agg(F.min("line_id").alias("lo"), F.max("line_id").alias("hi")).where("lo < hi")
-        met = stage(active.join(ends, "band"), "met")
-        if met.isEmpty():
-            break
-        if near_lines is None:  # only lines that share a band are ever compared
-            near_lines = stage(lines.join(met.select("line_id").distinct(), "line_id", "left_semi"), "near-lines")
-        pairs = met.select("line_id", F.explode(F.array("lo", "hi")).alias("end")).where("line_id <> end")
-        pairs = pairs.select(F.least("line_id", "end").alias("a"), F.greatest("line_id", "end").alias("b")).distinct()
+    bands = stage(_banded(lines), "bands")
+    shared = stage(bands.join(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "band"), "shared-bands")
+    order = shared.groupBy("line_id").agg((-F.sum("n")).alias("order"))
+    near_lines = stage(lines.join(order, "line_id", "left_semi"), "near-lines")  # only lines that share a band are ever compared
+    ranked = group_slots(shared.select("band", "line_id").join(order, "line_id"), ["band"], ["order", "line_id"], "rank")
+    active = stage(ranked.select("band", "line_id", "rank", F.col("line_id").alias("root")), "bands")
+    links = active.select(F.col("line_id").alias("a"), F.col("root").alias("b")).limit(0)
+    compared, probed = None, 1
+    while not active.isEmpty():
+        probes = active.where(F.col("rank") < probed).select("band", F.col("line_id").alias("probe"), F.col("rank").alias("at"), F.col("root").alias("own"))
+        pairs = active.join(probes, "band").where("rank > at and root <> own")
+        pairs = pairs.select(F.least("line_id", "probe").alias("a"), F.greatest("line_id", "probe").alias("b")).distinct()
+        pairs = stage(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "line-pairs")
+        compared = pairs if compared is None else compared.unionByName(pairs)
         found = stage(_verified(pairs, near_lines, percent), "line-links")
-        links = found if links is None else links.unionByName(found)
-        left = met.where("line_id <> lo and line_id <> hi")
-        for end in ("lo", "hi"):
-            near = found.select(F.col("a").alias(end), F.col("b").alias("line_id")).unionByName(found.select(F.col("b").alias(end), F.col("a").alias("line_id")))
-            left = left.join(near, [end, "line_id"], "left_anti")
-        active = stage(left.select("line_id", "band"), "bands")
-    return links if links is not None else active.select(F.col("line_id").alias("a"), F.col("line_id").alias("b"))
+        rest = active.where(F.col("rank") >= probed)
+        if not found.isEmpty():
+            links = stage(connected(links.unionByName(found)).select(F.col("node").alias("a"), F.col("root").alias("b")), "line-groups")
+            rest = rest.drop("root").join(links.withColumnRenamed("a", "line_id"), "line_id", "left")
+            rest = rest.select("band", "line_id", "rank", F.coalesce("b", "line_id").alias("root"))
+        parted = rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+        active = stage(rest.join(parted, "band", "left_semi"), "bands")
+        probed *= 4
+    return links
 
 
 def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
