@@ -359,6 +359,16 @@ def test_contamination_equals_plain_windows(spark, monkeypatch, suffixes):
     assert decontamination.contamination(decontamination.verbatim_matches(frame(spark, []), benchmark)).collect() == []
 
 
+@pytest.mark.parametrize("suffixes", [1 << 20, 20])
+def test_repeated_and_null_ids_in_any_number_of_passes(spark, monkeypatch, suffixes):
+    monkeypatch.setattr(decontamination, "SUFFIXES_PER_PASS", suffixes)
+    rows, items = bench_case()
+    rows += [(None, items[5][1]), (None, "no match"), (None, "lead " * 9 + items[7][1]), (7, items[6][1]), (None, None)]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    found = decontamination.contamination(decontamination.verbatim_matches(frame(spark, rows), benchmark))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(plain_contamination(rows, items), key=str)
+
+
 def test_longest_matches_and_removal(spark):
     rows, items = bench_case()
     benchmark = spark.createDataFrame(items, "item_id string, text string")

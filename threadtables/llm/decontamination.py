@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -64,25 +65,31 @@ def verbatim_matches(docs: DataFrame, benchmark: DataFrame, words: int = 13) ->
     fingerprint of their first `words` words, and every test suffix is found in it by binary search. Neighbouring finds
     on one diagonal join into one match: item, its word `place` in the item, the word `at` in the document, and its
     length. Nulls, empty texts and texts without words have no match; repeated rows each get theirs; extra columns are
-    ignored. Each pass takes a bounded block of test suffixes along.
+    ignored. Each pass takes a bounded block of test suffixes along; for several passes the rows are numbered in a
+    staged table, by which their hits are put together.
     """
-    passes = [_one_pass(docs, block, words) for block in test_suffixes(benchmark, words)]
-    if len(passes) == 1:
-        return passes[0]
+    blocks = test_suffixes(benchmark, words)
+    block, second = next(blocks), next(blocks, None)
+    if second is None:
+        return _one_pass(docs.select("doc_id", "text"), block, words)
+    rows = stage(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "rows")
     out = None
-    for p in passes:
-        p = stage(p, "matches")
-        out = p if out is None else out.unionByName(p)
-    row = F.struct("doc_id", "n_words", "hits")
-    return out.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list(row["hits"])).alias("hits"))
+    for block in chain([block, second], blocks):
+        found = stage(_one_pass(rows, block, words), "matches")
+        out = found if out is None else out.unionByName(found)
+    out = out.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"))
+    return out.drop("row")
 
 
 def _one_pass(docs: DataFrame, block: dict[int, tuple], words: int) -> DataFrame:
+    """The columns of `docs` with n_words and hits in place of text, the last."""
+    names_kept = docs.columns[:-1]
+
     def search(batches):
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            n_words = np.zeros(len(ids), np.int64)
-            hits: list[list] = [[] for _ in range(len(ids))]
+            texts = batch.column(len(names_kept))
+            n_words = np.zeros(len(texts), np.int64)
+            hits: list[list] = [[] for _ in range(len(texts))]
             for row, prints, first in _word_prints(texts):
                 n_words[row:row + len(first) - 1] = np.diff(first)
                 for n, (tests, items, places, names) in block.items():
@@ -97,10 +104,10 @@ def _one_pass(docs: DataFrame, block: dict[int, tuple], words: int) -> DataFrame
                     at = suffixes[np.repeat(low[found] - np.cumsum(times) + times, times) + np.arange(times.sum())]
                     _join_diagonals(at, np.repeat(items[found], times), np.repeat(places[found], times), n, names, first, row, hits)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n_words), pa.array(hits, pa.list_(pa.struct([("item", pa.string()), ("place", pa.int64()), ("at", pa.int64()), ("words", pa.int64())])))],
-                names=["doc_id", "n_words", "hits"])
+                [*batch.columns[:-1], pa.array(n_words), pa.array(hits, pa.list_(pa.struct([("item", pa.string()), ("place", pa.int64()), ("at", pa.int64()), ("words", pa.int64())])))],
+                names=[*names_kept, "n_words", "hits"])
 
-    return docs.select("doc_id", "text").mapInArrow(search, MATCHES)
+    return docs.mapInArrow(search, "row long, " + MATCHES if "row" in names_kept else MATCHES)
 
 
 def _join_diagonals(at, item, place, n, names, first, row, hits) -> None:
