@@ -289,6 +289,18 @@ def test_packing_odd_rows(spark):
     assert [r["length"] for r in sorted(found, key=lambda r: r["length"])] == [1, 2, 2] and len({(r["sequence_id"], r["offset"]) for r in found}) == 3
 
 
+def test_added_tokens_inside_texts_are_plain_text():
+    """A document cannot bring the end id in: its ids are those of the tokenizer with encode_special_tokens set."""
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(TOKENIZER)
+    model.encode_special_tokens = True
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|><|endoftext|> y", " <|endoftext|>\n"]
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in packing._words(TOKENIZER).ids(texts)]
+    assert found == [model.encode(t, add_special_tokens=False).ids for t in texts]
+    assert found[0] == [64, 27, 91, 437, 1659, 5239, 91, 29, 65]
+
+
 @pytest.mark.parametrize("case", ["few", "many", "one length", "halves", "tiny"])
 def test_plan_covers_the_histogram(case):
     rng = random.Random(7)
