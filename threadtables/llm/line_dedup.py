@@ -10,17 +10,20 @@ from threadtables.session import stage
 
 #: Characters of a shingle.
 SHINGLE = 8
-#: A pair at similarity 0.8 shares one of the bands with odds of 0.9992, at 0.85 of 0.9999.
+#: A pair at similarity 0.8 shares one of the bands with odds of about 0.999, at 0.85 of 0.9999.
 BANDS, ROWS = 10, 3
 _NO_ID = -(1 << 63)
 
 
-def _masks() -> list[int]:
-    """32-bit constants; a value XORed with one of them is an order of its own."""
+_LOW = (1 << 32) - 1
+
+
+def _factors() -> list[int]:
+    """Odd numbers of 31 bits; a 32-bit value times one of them, modulo 2^32, is an order of its own."""
     state, out = 1, []
     for _ in range(BANDS * ROWS):
         state = (state * 6364136223846793005 + 1442695040888963407) % (1 << 64)
-        out.append((state >> 32) - (1 << 31))
+        out.append(state >> 33 | 1)
     return out
 
 
@@ -48,8 +51,8 @@ def _banded(lines: DataFrame) -> DataFrame:
     # in a step of its own, or each shingle would encode the line anew
     encoded = lines.select("line_id", F.encode("line", "UTF-32").alias("encoded"), _last_start(F.col("line")).alias("last"))
     rows = encoded.select("line_id", "encoded", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("at"))
-    hashed = rows.select("line_id", F.hash(_shingle(F.col("encoded"), F.col("at"))).alias("h"))
-    least = hashed.groupBy("line_id").agg(*(F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(_masks())))
+    hashed = rows.select("line_id", F.hash(_shingle(F.col("encoded"), F.col("at"))).cast("long").bitwiseAND(F.lit(_LOW)).alias("h"))
+    least = hashed.groupBy("line_id").agg(*(F.min((F.col("h") * F.lit(f)).bitwiseAND(F.lit(_LOW))).alias(f"m{i}") for i, f in enumerate(_factors())))
     bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
     return least.select("line_id", F.explode(bands).alias("band"))
 
