@@ -223,6 +223,18 @@ def test_line_dedup_odd_rows(spark):
     assert sorted((r["doc_id"] for r in left.collect()), key=str) == [1, 1, 3, None]
 
 
+def test_rows_that_share_an_id_get_their_own_text(spark):
+    rows = [(0, "first line of all\nsecond line of all"), (1, "first line of all\nkept in one"), (1, "second line of all\nkept in another"), (1, "whole"),
+            (None, "left alone here"), (2, "left alone here\nother"), (None, "whole again\nleft alone here")]
+    docs = frame(spark, rows)
+    left = line_dedup.drop_emptied(docs, line_dedup.dedup_texts(docs))
+    expected = {r[0]: [] for r in rows}
+    for r in line_dedup.dedup_lines(docs).collect():
+        expected[r["doc_id"]].append(r["text"])
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(((d, t) for d, own in expected.items() for t in own if t), key=str)
+    assert sorted(expected[1]) == ["kept in another", "kept in one", "whole"]
+
+
 def test_line_dedup_uses_no_python(spark):
     plan = line_dedup.dedup_lines(frame(spark, line_corpus()))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

@@ -115,6 +115,11 @@ def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     place stays. Blank lines are never removed. A null text stays null with no lines. A null doc_id counts as the
     smallest. Rows equal in doc_id and text are one document: each keeps the same lines. Extra columns are ignored.
     """
+    return dedup_texts(docs, percent).drop("crc")
+
+
+def dedup_texts(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """`dedup_lines` with crc, the crc32 of the text as it was."""
     lines = _lines(docs)
     kinds = lines.groupBy("h1", "h2", "line").agg(F.count("*").alias("n")).withColumn("line_id", F.monotonically_increasing_id())
     kinds = stage(kinds, "lines")
@@ -131,18 +136,25 @@ def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     left = F.transform(F.array("parts"), lambda own: F.transform(F.array_except(F.sequence(F.lit(0), F.size(own) - 1), "gone"), lambda i: F.get(own, i)))
     rows = _keyed(docs).join(gone, ["id", "crc"], "left").withColumn("parts", text)
     return rows.select(
-        F.nullif("id", F.lit(_NO_ID)).alias("doc_id"), F.coalesce(F.size("parts"), F.lit(0)).alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"),
+        F.nullif("id", F.lit(_NO_ID)).alias("doc_id"), "crc", F.coalesce(F.size("parts"), F.lit(0)).alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"),
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.get(left, F.lit(0)), "\n")).alias("text"))
 
 
 def drop_emptied(docs: DataFrame, deduped: DataFrame) -> DataFrame:
     """`docs` with the texts of `deduped` and their other columns (`n_chars`, if there, is counted anew).
 
-    A document that lost lines and has only blanks left is dropped; one that had no more from the start stays. Needs
-    one text for each doc_id; rows without doc_id stay as they are.
+    A document that lost lines and has only blanks left is dropped; one that had no more from the start stays. With the
+    crc of `dedup_texts` a row is known by doc_id, null or not, and text; without it (`dedup_lines`) one text for each
+    doc_id is needed and rows without doc_id stay as they are.
     """
-    new = deduped.where("n_removed > 0 and doc_id is not null").select(F.col("doc_id").alias("key"), F.col("text").alias("left")).distinct()
-    rows = docs.select(F.struct("*").alias("row")).join(new, F.col("row.doc_id") == F.col("key"), "left")
+    new = deduped.where("n_removed > 0").withColumnRenamed("doc_id", "key").withColumnRenamed("text", "left")
+    if "crc" in deduped.columns:
+        own = F.col("row.doc_id").cast("long").eqNullSafe(F.col("key")) & (F.crc32("row.text") == F.col("crc"))
+        new = new.select("key", "crc", "left").distinct()
+    else:
+        own = F.col("row.doc_id") == F.col("key")
+        new = new.where("key is not null").select("key", "left").distinct()
+    rows = docs.select(F.struct("*").alias("row")).join(new, own, "left")
     rows = rows.where(F.col("left").isNull() | F.col("left").rlike(r"\S"))
     changed = {"text": F.col("left")}
     if "n_chars" in docs.columns:
