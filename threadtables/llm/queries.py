@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadtables.llm import decontamination, language, line_dedup, ngram_join, packing, repeats, sharding, toxicity, urlfilter, vptree
+from threadtables.llm import circulant, decontamination, divergence, fim, language, line_dedup, ngram_join, packing, repeats, sharding, toxicity, urlfilter, vptree
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -63,4 +63,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(decontamination.verbatim_matches(docs, items))
 
 
-ALL = [op1_bloom_cascade, op2_kd_sharding, op3_vantage_point_search, op4_line_dedup, op5_toxicity, op6_language_codes, op7_ngram_jaccard_join, op8_pattern_packing, op9_suffix_array_dedup, op10_decontamination]
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(_table(spark, sf_dir, "documents", "lang", "source", "text"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(fim.fill_in_middle(_table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def op13_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+ALL = [op1_bloom_cascade, op2_kd_sharding, op3_vantage_point_search, op4_line_dedup, op5_toxicity, op6_language_codes, op7_ngram_jaccard_join, op8_pattern_packing, op9_suffix_array_dedup, op10_decontamination,
+       op11_source_divergence, op12_fill_in_middle, op13_circulant_minhash]
