@@ -259,7 +259,6 @@ def test_pieces_are_the_tokenizers_ids(spark):
     docs = frame(spark, rows)
     packed = packing.pack(docs, TOKENIZER)
     model = Tokenizer.from_file(TOKENIZER)
-    model.encode_special_tokens = True
     found, seqs = {}, {}
     for r in packed.orderBy("doc_id", "piece").collect():
         found.setdefault(r["doc_id"], []).append(r)
@@ -289,16 +288,23 @@ def test_packing_odd_rows(spark):
     assert [r["length"] for r in sorted(found, key=lambda r: r["length"])] == [1, 2, 2] and len({(r["sequence_id"], r["offset"]) for r in found}) == 3
 
 
-def test_added_tokens_inside_texts_are_plain_text():
-    """A document cannot bring the end id in: its ids are those of the tokenizer with encode_special_tokens set."""
+def test_added_tokens_inside_texts_have_their_own_id():
+    """The ids are those of the plain call, which knows added tokens inside texts too."""
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(TOKENIZER)
-    model.encode_special_tokens = True
-    texts = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|><|endoftext|> y", " <|endoftext|>\n"]
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|><|endoftext|> y", " <|endoftext|>\n", "<|endoftext", "a <|endoftext|> two  words"]
     found = [np.frombuffer(ids, "<u4").tolist() for ids in packing._words(TOKENIZER).ids(texts)]
     assert found == [model.encode(t, add_special_tokens=False).ids for t in texts]
-    assert found[0] == [64, 27, 91, 437, 1659, 5239, 91, 29, 65]
+    assert found[0] == [64, 50256, 65]
+
+
+def test_kept_words_are_bounded_in_bytes():
+    words = packing._Words(TOKENIZER)
+    for i in range(40):
+        words.ids([" ".join(f"{i}x{k}" * 5_000 for k in range(20))])
+        assert words.bytes <= packing.CACHED_BYTES + 20 * 5_000 * 40
+    assert len(words.known) < 800
 
 
 @pytest.mark.parametrize("case", ["few", "many", "one length", "halves", "tiny"])

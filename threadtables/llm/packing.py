@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 from threadtables.llm.ranks import group_slots
 from threadtables.session import stage
 
-#: Ids of so many words at most are kept in a worker.
-CACHED_WORDS = 300_000
+#: Ids of so many words, and of so many bytes of words and ids together, are kept in a worker at most.
+CACHED_WORDS, CACHED_BYTES = 100_000, 1 << 23
 #: Texts tokenized together.
 _ROWS = 256
 
@@ -35,32 +35,41 @@ def _token_bytes(vocabulary: dict[str, int]) -> dict[bytes, int]:
 class _Words:
     """Ids of whole texts by byte-level BPE. The pattern always starts a token at a blank that stands before a visible
     character, so the words between such blanks are encoded once each and joined. Merges are ranked by their ids, which
-    lets the faster of the two installed libraries give the ids of the other."""
+    lets the faster of the two installed libraries give the ids of the other. A text that holds an added token of the
+    file is left to the tokenizer itself, which knows it there."""
 
     def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
 
-        model = Tokenizer.from_file(path)
-        special = {t.content for t in model.get_added_tokens_decoder().values()}
-        ranks = _token_bytes({t: i for t, i in model.get_vocab().items() if t not in special})
+        self.model = Tokenizer.from_file(path)
+        self.added = {t.content for t in self.model.get_added_tokens_decoder().values()}
+        ranks = _token_bytes({t: i for t, i in self.model.get_vocab().items() if t not in self.added})
         self.encode = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self._forget()
+
+    def _forget(self) -> None:
         self.known: dict[str, bytes] = {}
+        self.bytes = 0
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.encode(text), "<u4").tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > CACHED_WORDS:
-            self.known = {}
         out = []
         for text in texts:
+            if any(a in text for a in self.added):
+                out.append(np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+                continue
+            if len(self.known) > CACHED_WORDS or self.bytes > CACHED_BYTES:
+                self._forget()
             parts = _BLANK.split(text) if _LONE_BLANK.search(text) else text.split(" ")
             head = self._ids(parts[0])
             rest = parts[1:]
             for word in set(rest).difference(self.known):
-                self.known[word] = self._ids(" " + word)
+                own = self.known[word] = self._ids(" " + word)
+                self.bytes += len(word) + len(own)
             out.append(head + b"".join(map(self.known.__getitem__, rest)))
         return out
 
