@@ -291,3 +291,44 @@ def test_a_passage_in_a_third_of_the_rows(spark):
     rows = [(d, " ".join(words(rng, 30)) + (" " + passage + " " if d % 3 == 0 else " ") + " ".join(words(rng, 30))) for d in range(300)]
     found = {r[0]: tuple(r)[1:] for r in repeats.digest(repeats.remove_repeats(frame(spark, rows).withColumn("text", F.col("text")))).collect()}
     assert found == plain_repeats(rows, 400)
+
+
+def equal_crc(first, second):
+    """Four bytes that give `second` the crc32 of `first` when they follow it."""
+    import zlib
+
+    table = []
+    for i in range(256):
+        c = i
+        for _ in range(8):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    high = {t >> 24: i for i, t in enumerate(table)}
+    state, want, picks = zlib.crc32(second) ^ 0xFFFFFFFF, zlib.crc32(first) ^ 0xFFFFFFFF, []
+    for _ in range(4):
+        picks.append(high[want >> 24])
+        want = ((want ^ table[picks[-1]]) << 8) & 0xFFFFFFFF
+    tail = b""
+    for i in reversed(picks):
+        tail += bytes([(state ^ i) & 0xFF])
+        state = (state >> 8) ^ table[i]
+    assert zlib.crc32(second + tail) == zlib.crc32(first)
+    return second + tail
+
+
+def test_rows_without_id_and_with_equal_crc_stay_apart(spark):
+    """Texts of null ids are told apart by more than 32 bits, in line dedup and in the removal of repeats."""
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefghij ") for _ in range(500))
+    one = ("start " + passage).encode()
+    while True:
+        two = equal_crc(one, ("".join(rng.choice("klmnopqrst ") for _ in range(700)) + "\n").encode())
+        if all(32 < b < 127 for b in two[-4:]):
+            break
+    rows = [(None, one.decode()), (None, two.decode()), (-(1 << 63), passage)]
+    found = {r["n_bytes"]: r for r in repeats.remove_repeats(frame(spark, rows)).collect()}
+    assert found[len(two)]["n_removed"] == 0 and found[len(one)]["n_removed"] == len(passage) and found[500]["doc_id"] == -(1 << 63)
+    lines = ["alpha beta gamma delta %d" % i for i in range(3)]
+    rows = [(None, "\n".join([lines[0], "x" * 30])), (5, lines[0])]
+    kept = {r["text"] for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
+    assert kept == {rows[0][1], ""}

@@ -27,8 +27,15 @@ def _factors() -> list[int]:
     return out
 
 
+def _print(doc_id: Column, text: Column) -> Column:
+    """64 bits of a text and of whether its row has an id."""
+    return F.xxhash64(doc_id.isNull(), text)
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.crc32("text").alias("crc"), "text")
+    """Rows by doc_id (the least long for null) and `crc`, the print of the row."""
+    doc = F.col("doc_id").cast("long")
+    return docs.select(F.coalesce(doc, F.lit(_NO_ID)).alias("id"), _print(doc, F.col("text")).alias("crc"), "text", doc.alias("doc_id"))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -119,7 +126,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def dedup_texts(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """`dedup_lines` with crc, the crc32 of the text as it was."""
+    """`dedup_lines` with crc, the print of the row as it was."""
     lines = _lines(docs)
     kinds = lines.groupBy("h1", "h2", "line").agg(F.count("*").alias("n")).withColumn("line_id", F.monotonically_increasing_id())
     kinds = stage(kinds, "lines")
@@ -136,7 +143,7 @@ def dedup_texts(docs: DataFrame, percent: int = 80) -> DataFrame:
     left = F.transform(F.array("parts"), lambda own: F.transform(F.array_except(F.sequence(F.lit(0), F.size(own) - 1), "gone"), lambda i: F.get(own, i)))
     rows = _keyed(docs).join(gone, ["id", "crc"], "left").withColumn("parts", text)
     return rows.select(
-        F.nullif("id", F.lit(_NO_ID)).alias("doc_id"), "crc", F.coalesce(F.size("parts"), F.lit(0)).alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"),
+        "doc_id", "crc", F.coalesce(F.size("parts"), F.lit(0)).alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"),
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.get(left, F.lit(0)), "\n")).alias("text"))
 
 
@@ -149,7 +156,7 @@ def drop_emptied(docs: DataFrame, deduped: DataFrame) -> DataFrame:
     """
     new = deduped.where("n_removed > 0").withColumnRenamed("doc_id", "key").withColumnRenamed("text", "left")
     if "crc" in deduped.columns:
-        own = F.col("row.doc_id").cast("long").eqNullSafe(F.col("key")) & (F.crc32("row.text") == F.col("crc"))
+        own = F.col("row.doc_id").cast("long").eqNullSafe(F.col("key")) & (_print(F.col("row.doc_id"), F.col("row.text")) == F.col("crc"))
         new = new.select("key", "crc", "left").distinct()
     else:
         own = F.col("row.doc_id") == F.col("key")

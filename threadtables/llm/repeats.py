@@ -17,7 +17,6 @@ TRIGGER, SPREAD = 16, 128
 #: Bits of the filter that keeps phrases of unrepeated cores at home: 8 MB however long the corpus. A full filter only
 #: lets more phrases through.
 FILTER_BITS = 1 << 26
-_NO_ID = -(1 << 63)
 
 
 @dataclass
@@ -59,8 +58,10 @@ def parse(chunk: Chunk, length: int) -> Phrases:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows by doc_id and a checksum of the text, so that rows that repeat a doc_id stay apart."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.crc32("text").alias("crc"), F.coalesce("text", F.lit("")).alias("text"))
+    """Rows by doc_id and `crc`, 64 bits of the text and of whether the id is null, so that rows that repeat a doc_id or
+    have none stay apart."""
+    doc = F.col("doc_id").cast("long")
+    return docs.select(F.coalesce(doc, F.lit(0)).alias("id"), F.xxhash64(doc.isNull(), "text").alias("crc"), F.coalesce("text", F.lit("")).alias("text"), doc.alias("doc_id"))
 
 
 def _bits(core: np.ndarray) -> list[np.ndarray]:
@@ -114,9 +115,9 @@ def _packed(keyed: DataFrame) -> DataFrame:
         squeeze = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             texts = [squeeze.compress(t.as_buffer()) for t in batch.column(2).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["id", "crc", "packed"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary()), batch.column(3)], names=["id", "crc", "packed", "doc_id"])
 
-    return keyed.mapInArrow(pack, "id long, crc long, packed binary")
+    return keyed.mapInArrow(pack, "id long, crc long, packed binary, doc_id long")
 
 
 def _strings(packed: DataFrame, edges: DataFrame, length: int) -> DataFrame:
@@ -197,11 +198,10 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
                 gone.append(len(data) - len(text))
                 n_spans.append(count)
                 kept.append(text)
-            ids = pa.array([None if i == _NO_ID else i for i in batch.column(0).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary())],
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary())],
                                              names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    rows = _packed(_keyed(docs)).join(spans, ["id", "crc"], "left").select("id", "packed", "runs")
+    rows = _packed(_keyed(docs)).join(spans, ["id", "crc"], "left").select("doc_id", "packed", "runs")
     return rows.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
