@@ -2,63 +2,109 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from threadtables.llm.textbytes import chunks, flags, mix, rows_of
+from threadtables.llm.textbytes import Chunk, chunks, flags, mix, rows_of
 from threadtables.session import stage
 
 #: Terms are of A-Z, a-z and every character beyond ASCII.
 _TERM = flags("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") | (np.arange(256) >= 128)
 #: Cells, and bytes of their terms, that a task holds before it spills them.
-HELD_CELLS, HELD_BYTES = 400_000, 1 << 26
+HELD_CELLS, HELD_BYTES = 1_000_000, 1 << 26
 #: Terms times sources that one task compares at a time.
 TILE = 1 << 22
 #: Parts of one: shares are whole numbers of them.
 ONE = 1_000_000_000
 #: Added to each count.
 PRIOR = 5
-_FOLD_BYTES = 1 << 22
+_FOLD_BYTES, _SPILL_ROWS = 1 << 22, 1 << 16
+_CELL = ["lang", "source", "term", "n_docs", "n"]
 
 
 class _Stripes:
-    """(lang, term) -> {source: [documents, occurrences]}."""
+    """Stripes of terms to documents and occurrences in each source, held as arrays that are sorted by the hash of
+    (lang, term) and then by source when they are folded together."""
 
     def __init__(self, most: int):
         self.most = most
-        self.held: dict[tuple[str, bytes], dict[str, list[int]]] = {}
+        self.groups: dict[tuple[str, str], int] = {}
+        self.langs: dict[str, int] = {}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.held: list[tuple[np.ndarray, ...]] = []
         self.cells = self.bytes = 0
 
-    def add(self, lang: str, source: str, term: bytes, documents: int, n: int) -> None:
-        key = (lang, term)
-        stripe = self.held.get(key)
-        if stripe is None:
-            stripe = self.held[key] = {}
-            self.bytes += len(term)
-        cell = stripe.get(source)
-        if cell is None:
-            stripe[source] = [documents, n]
-            self.cells += 1
-        else:
-            cell[0] += documents
-            cell[1] += n
+    def add(self, chunk: Chunk, pairs: list[tuple[str, str]]) -> None:
+        """Fold the documents of a chunk; `pairs`: lang and source of each."""
+        number = [self.groups.setdefault(p, len(self.groups)) for p in pairs]
+        lang = [self.langs.setdefault(p[0], len(self.langs)) for p in pairs]
+        chunk.lower()
+        begin, end, first = chunk.words(_TERM)
+        if not len(begin):
+            return
+        row = rows_of(first)
+        stripe = mix(chunk.fingerprints(begin, end) + np.array(lang, np.uint64)[row] * np.uint64(0xD6E8FEB86659FD93))
+        group = np.array(number)[row]
+        key = stripe + group.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        order = np.argsort(key, kind="stable")
+        key, row = key[order], row[order]
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        document = new.copy()
+        document[1:] |= row[1:] != row[:-1]
+        head = np.flatnonzero(new)
+        at = order[head]
+        text, size = _cut(chunk.data, begin[at], end[at])
+        self.held.append((stripe[at], group[at], np.add.reduceat(document.astype(np.int64), head), np.diff(np.append(head, len(key))), size, text))
+        self.cells += len(at)
+        self.bytes += len(text)
 
     def full(self) -> bool:
         return self.cells >= self.most or self.bytes >= HELD_BYTES
 
-    def spill(self) -> pa.RecordBatch:
-        rows = [(lang, source, term, *cell) for (lang, term), stripe in self.held.items() for source, cell in stripe.items()]
-        self.held, self.cells, self.bytes = {}, 0, 0
-        return _cells(rows)
-
-
-def _cells(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
-    columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-    columns[2] = columns[2].cast(pa.string())
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n_docs", "n"])
+    def spill(self) -> Iterator[pa.RecordBatch]:
+        if not self.cells:
+            return
+        stripe, group, n_docs, n, size, text = (np.concatenate([h[k] for h in self.held]) for k in range(6))
+        self._clear()
+        order = np.argsort(group, kind="stable")
+        order = order[np.argsort(stripe[order], kind="stable")]
+        stripe, group = stripe[order], group[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (stripe[1:] != stripe[:-1]) | (group[1:] != group[:-1])
+        head = np.flatnonzero(new)
+        n_docs, n = np.add.reduceat(n_docs[order], head), np.add.reduceat(n[order], head)
+        end = np.cumsum(size)
+        begin = (end - size)[order[head]]
+        end, group = end[order[head]], group[head]
+        langs, sources = (pa.array([p[k] for p in self.groups], pa.string()) for k in (0, 1))
+        for k in range(0, len(head), _SPILL_ROWS):
+            part = slice(k, k + _SPILL_ROWS)
+            data, sizes = _cut(text, begin[part], end[part])
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            terms = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(data))
+            of = pa.array(group[part])
+            yield pa.RecordBatch.from_arrays([langs.take(of), sources.take(of), terms, pa.array(n_docs[part]), pa.array(n[part])], names=_CELL)
+
+    def named(self) -> pa.RecordBatch:
+        """A row without term for each group."""
+        langs, sources = (pa.array([p[k] for p in self.groups], pa.string()) for k in (0, 1))
+        none = pa.array(np.zeros(len(self.groups), np.int64))
+        return pa.RecordBatch.from_arrays([langs, sources, pa.nulls(len(self.groups), pa.string()), none, none], names=_CELL)
+
+
+def _cut(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the given spans end to end, and their sizes."""
+    size = end - begin
+    if size.sum() > 4 * _FOLD_BYTES:  # very long terms are copied as they are
+        return np.concatenate([data[b:e] for b, e in zip(begin, end, strict=True)]), size
+    return data[np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())], size
 
 
 def stripes(docs: DataFrame, held_cells: int = HELD_CELLS) -> DataFrame:
@@ -69,36 +115,15 @@ def stripes(docs: DataFrame, held_cells: int = HELD_CELLS) -> DataFrame:
     """
 
     def fold(batches):
-        held, groups = _Stripes(held_cells), set()
+        held = _Stripes(held_cells)
         for batch in batches:
-            langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            pairs = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
             for chunk in chunks(batch.column(2), _FOLD_BYTES):
-                chunk.lower()
-                pairs = list(zip(langs[chunk.first:chunk.first + len(chunk)], sources[chunk.first:chunk.first + len(chunk)], strict=True))
-                number = {p: i for i, p in enumerate(dict.fromkeys(pairs))}
-                groups.update(number)
-                begin, end, first = chunk.words(_TERM)
-                if not len(begin):
-                    continue
-                row = rows_of(first)
-                group = np.array([number[p] for p in pairs], np.uint64)[row]
-                key = mix(chunk.fingerprints(begin, end)) + group * np.uint64(0x9E3779B97F4A7C15)
-                order = np.argsort(key, kind="stable")
-                key, row = key[order], row[order]
-                new = np.ones(len(key), bool)
-                new[1:] = key[1:] != key[:-1]
-                document = new.copy()
-                document[1:] |= row[1:] != row[:-1]
-                head = np.flatnonzero(new)
-                n = np.diff(np.append(head, len(key)))
-                n_docs = np.add.reduceat(document.astype(np.int64), head)
-                raw, names, at = chunk.data.tobytes(), list(number), order[head]
-                for g, b, e, d, k in zip(group[at].tolist(), begin[at].tolist(), end[at].tolist(), n_docs.tolist(), n.tolist(), strict=True):
-                    held.add(*names[g], raw[b:e], d, k)
+                held.add(chunk, pairs[chunk.first:chunk.first + len(chunk)])
                 if held.full():
-                    yield held.spill()
-        yield held.spill()
-        yield _cells([(lang, source, None, 0, 0) for lang, source in sorted(groups)])
+                    yield from held.spill()
+        yield from held.spill()
+        yield held.named()
 
     named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
     return docs.select(*named).mapInArrow(fold, "lang string, source string, term string, n_docs long, n long")
