@@ -6,7 +6,7 @@ VENUE = "Conf.cc/2030/Main"
 SITE = "https://reviews.example.org"
 # reviews of the widest paper and entries of the longest history at the scale of the comparison (sf0.01)
 WIDEST_PAPER = 13
-LONGEST_HISTORY = 5
+LONGEST_HISTORY = 25
 
 NL = "chr(10)"
 
@@ -133,6 +133,38 @@ SELECT kind, forum, id, signature, content_keys FROM (
     row_number() OVER (PARTITION BY {KIND} ORDER BY conv_id, turn, id) AS rn FROM t
   UNION ALL SELECT 'submission', forum, forum, signature, 'title,venueid,venue',
     row_number() OVER (ORDER BY conv_id) FROM roots) WHERE rn = 1"""),
+        "first_examples": threads(f"""
+, noted AS (
+  SELECT *, row_number() OVER (PARTITION BY {KIND} ORDER BY conv_id, turn, id) AS rn,
+    row_number() OVER (PARTITION BY k = 'reply' AND body <> '' ORDER BY conv_id, turn, id) AS reply_rn FROM t
+),
+chosen AS (
+  SELECT {KIND} AS kind, * FROM noted WHERE rn = 1
+  UNION ALL SELECT 'author_reply', * FROM noted WHERE k = 'reply' AND body <> '' AND reply_rn = 1
+),
+first_root AS (SELECT * FROM roots ORDER BY conv_id LIMIT 1)
+SELECT kind, id, signature, position, key, value FROM (
+  SELECT kind, id, signature, e.position, e.key,
+    CASE e.key WHEN 'summary' THEN text WHEN 'strengths' THEN line WHEN 'questions' THEN ''
+      WHEN 'rating' THEN '' || (length(text) % 10 + 1) WHEN 'confidence' THEN '' || (length(text) % 5) ELSE 'Yes' END AS value
+  FROM chosen, (VALUES (0, 'summary'), (1, 'strengths'), (2, 'questions'), (3, 'rating'), (4, 'confidence'), (5, 'code_of_conduct')) e(position, key)
+  WHERE kind = 'official_review'
+  UNION ALL SELECT kind, id, signature, 0, 'summary', text FROM chosen WHERE kind = 'meta_review'
+  UNION ALL SELECT kind, id, signature, 0, 'comment', body FROM chosen WHERE kind IN ('other', 'author_reply')
+  UNION ALL SELECT 'submission', forum, signature, e.position, e.key,
+    CASE e.key WHEN 'title' THEN 'Paper ' || conv_id WHEN 'venueid' THEN '{VENUE}' ELSE 'Main 2030' END
+  FROM first_root, (VALUES (0, 'title'), (1, 'venueid'), (2, 'venue')) e(position, key))"""),
+        "restart": threads(f"""
+SELECT 1 AS version, forum, id AS note_id, '' AS rebuttal_text FROM t WHERE k = 'official_review' AND turn % 2 = 0
+UNION ALL SELECT 2, t.forum, t.id, coalesce(b.rebuttal_text, '') FROM t LEFT JOIN (
+  SELECT g.target AS note_id, string_agg(r.own, ' | ' ORDER BY r.posted, r.turn, r.id) AS rebuttal_text
+  FROM replies r JOIN targets g ON g.reply_id = r.id WHERE r.own <> '' GROUP BY 1) b ON b.note_id = t.id
+WHERE t.k = 'official_review'"""),
+        "two_venues_one_slug": threads(f"""
+SELECT v.venue_id, v.p || substr(t.forum, 2) AS forum, v.p || substr(t.id, 2) AS note_id, reviewer, {THREAD_RATINGS} AS ratings,
+  coalesce(b.rebuttal_text, '') AS rebuttal_text
+FROM t LEFT JOIN rebuttals b ON b.note_id = t.id, (VALUES ('{VENUE}', 'f'), ('{VENUE.replace("/Main", "_Main")}', 'g')) v(venue_id, p)
+WHERE t.k = 'official_review'""", REBUTTALS),
         "stitch_review_text": threads(f"""
 SELECT id AS note_id, reviewer, {REVIEW_TEXT} AS full_text FROM t WHERE k = 'official_review'"""),
         "stitch_meta_text": threads(f"""
@@ -340,6 +372,19 @@ SELECT forum, 'venue' AS key, venue AS value FROM subs UNION ALL SELECT forum, '
 SELECT forum, title, '' || o_orderkey AS submission_number, meta_review_text AS meta,
   '"q", ' || authors || {NL} || 'next' AS authors FROM papers"""),
         "bucket_files_union": orders("SELECT link, title, type, n_reviews AS reviews FROM papers"),
+        "jsonl_reviews": orders(f"""
+SELECT p.forum, CAST(row_number() OVER (PARTITION BY p.forum ORDER BY reviewer, seq, id) - 1 AS INT) AS place, reviewer AS reviewer_handle,
+  '{VENUE}/Submission' || l_orderkey || '/Reviewer_' || l_suppkey AS reviewer_signature, id AS note_id,
+  'Review:' || {NL} || l_returnflag || ' ' || l_linestatus || ' ' || day AS full_text,
+  'discount=' || CAST(round(l_discount * 100) AS INT) || ',quantity=' || CAST(l_quantity AS INT) || ',tax=' || CAST(round(l_tax * 100) AS INT) AS ratings,
+  '' AS rebuttal_text
+FROM papers p JOIN lines l ON l.forum = p.forum"""),
+        "incremental_paper_rows": orders("""
+SELECT forum, type, bucket, title, keywords, meta_review_text, meta_reviewer_handle, n_reviews FROM papers"""),
+        "incremental_top_n": orders("""
+SELECT forum, bucket, n_reviews FROM (
+  SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY ord ORDER BY o_orderkey, forum) <= 100)
+WHERE NOT (bucket = 'Reject' AND n_reviews = 0) QUALIFY row_number() OVER (PARTITION BY forum ORDER BY ord) = 1"""),
         "jsonl_roundtrip": orders("""
 SELECT p.forum, type, bucket, n_reviews AS reviews, r.reviewer, r.full_text AS text, r.quantity
 FROM papers p LEFT JOIN reviews r ON r.forum = p.forum AND r.review_idx = 1"""),
@@ -358,13 +403,14 @@ profiles AS (
       CASE WHEN c_custkey % 5 = 0 THEN 'ORCID (https://home.example/' || c_custkey || ')' END) AS links,
     lower(c_mktsegment) || '; ' || lower(n_name) || CASE WHEN c_custkey % 4 <> 0 THEN '; trade' ELSE '' END AS expertise,
     c_acctbal
-  FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_acctbal >= 0
+  FROM customer JOIN nation ON n_nationkey = c_nationkey
 ),
+found AS (SELECT * FROM profiles WHERE c_acctbal >= 0),
 parts AS (
   SELECT p.*, i, CASE WHEN (key + i) % 2 = 1 THEN n_name ELSE '' END AS nm,
     CASE WHEN ((key + i) % 8 // 2) % 2 = 1 THEN lower(n_name) || '.example' ELSE '' END AS dm,
     CASE WHEN (key + i) % 8 >= 4 THEN left(n_name, 2) ELSE '' END AS cn
-  FROM profiles p, range(1, {LONGEST_HISTORY + 1}) r(i) WHERE i <= key % 6
+  FROM profiles p, range(1, {LONGEST_HISTORY + 1}) r(i) WHERE i <= key % 26
 ),
 based AS (
   SELECT *, CASE WHEN dm = '' THEN nm WHEN nm = '' THEN dm ELSE nm || ' (' || dm || ')' END AS base FROM parts
@@ -373,7 +419,7 @@ history AS (
   SELECT key, i AS history_idx, CASE WHEN i % 4 <> 3 THEN 'Position ' || i ELSE '' END AS title,
     CASE WHEN cn = '' THEN base WHEN base = '' THEN cn ELSE base || ' [' || cn || ']' END AS location,
     CASE WHEN i <> 2 THEN '' || (1990 + (key + i * 3) % 30) ELSE '' END AS start,
-    CASE WHEN i <> key % 6 THEN '' || (1991 + (key + i * 3) % 30) ELSE 'Present' END AS "end"
+    CASE WHEN i <> key % 26 THEN '' || (1991 + (key + i * 3) % 30) ELSE 'Present' END AS "end"
   FROM based
 ),
 ids AS (
@@ -409,12 +455,27 @@ SELECT {link}, name AS "Name", history_idx, title, location, start, "end" FROM p
         "long_history": authors(history),
         "scan_profiles": authors(history),
         "unpivot_history": authors(history + " WHERE title <> ''"),
-        "manifest_profiles": authors("SELECT author_id, id FROM ids JOIN profiles ON query_id = author_id"),
-        "missing_profiles": authors("SELECT author_id FROM ids ANTI JOIN profiles ON query_id = author_id"),
+        "manifest_profiles": authors("SELECT author_id, id FROM ids JOIN found ON query_id = author_id"),
+        "missing_profiles": authors("SELECT author_id FROM ids ANTI JOIN found ON query_id = author_id"),
         "id_manifest_roundtrip": authors("SELECT author_id FROM ids"),
         "paper_authors": authors(f"""
-SELECT {link}, arg_min(name, query_id) AS "Name", arg_min(key % 6, query_id) AS entries
-FROM ids JOIN profiles ON query_id = author_id GROUP BY id"""),
+SELECT {link}, arg_min(name, query_id) AS "Name", arg_min(key % 26, query_id) AS entries
+FROM ids JOIN found ON query_id = author_id GROUP BY id"""),
+        "merged_profile_chains": """
+WITH merged AS (
+  SELECT c_custkey AS k, c_name AS name, CASE WHEN c_custkey % 40 IN (1, 2, 3, 11) THEN c_custkey - 1
+    WHEN c_custkey % 40 = 10 THEN c_custkey + 1 ELSE c_custkey END AS target FROM customer
+),
+ended AS (
+  SELECT *, CASE WHEN k % 40 IN (1, 2, 3) THEN k - k % 40 WHEN k % 40 = 11 THEN k - 1
+    WHEN k % 40 = 10 AND k + 1 NOT IN (SELECT k FROM merged) THEN k + 1 ELSE k END AS profile FROM merged
+)
+SELECT '~c' || profile AS id, arg_min('~c' || k, (target <> profile, '~c' || k)) AS query_id, arg_min(name, (target <> profile, '~c' || k)) AS name,
+  count(*) AS ids FROM ended GROUP BY profile""",
+        "profile_retries": """
+SELECT '~c' || k AS query_id, k % 4 < 3 AS found, CAST(least(k % 4 + 1, CASE WHEN k % 8 = 7 THEN 2 ELSE 3 END) AS BIGINT) AS attempts,
+  k % 8 = 7 AS pending, CASE WHEN k % 4 = 3 THEN '' WHEN k % 40 = 1 THEN '~c' || (k - 1) ELSE '~c' || k END AS id
+FROM (SELECT c_custkey AS k FROM customer)""",
         "profile_key_census": authors("""
 SELECT key, count(*) AS rows FROM (
   SELECT 'names' AS key FROM profiles WHERE key % 11 <> 0
@@ -422,12 +483,12 @@ SELECT key, count(*) AS rows FROM (
   UNION ALL SELECT 'gscholar' FROM profiles WHERE key % 2 = 0
   UNION ALL SELECT 'orcid' FROM profiles WHERE key % 5 = 0
   UNION ALL SELECT 'expertise' FROM profiles
-  UNION ALL SELECT 'history' FROM profiles WHERE key % 6 <> 0) GROUP BY 1"""),
+  UNION ALL SELECT 'history' FROM profiles WHERE key % 26 <> 0) GROUP BY 1"""),
         "parquet_text_roundtrip": authors(f"""
-SELECT {link}, name AS "Name", expertise AS "Expertise", '' || (key % 6) AS entries FROM profiles"""),
+SELECT {link}, name AS "Name", expertise AS "Expertise", '' || (key % 26) AS entries FROM profiles"""),
         "incremental_profiles": authors(f"""
-SELECT {link}, name AS "Name", 'done' AS state FROM ids JOIN profiles ON query_id = author_id
-UNION ALL SELECT '{SITE}/profile?id=' || author_id, '', 'pending' FROM ids ANTI JOIN profiles ON query_id = author_id"""),
+SELECT {link}, name AS "Name", 'done' AS state FROM ids JOIN found ON query_id = author_id
+UNION ALL SELECT '{SITE}/profile?id=' || author_id, '', 'pending' FROM ids ANTI JOIN found ON query_id = author_id"""),
     }
 
 

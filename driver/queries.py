@@ -84,6 +84,11 @@ def first_of_kind(spark, d):
     return D.first_of_kind(classify(X.thread_notes(spark, d)), ["number", "seq", "id"])
 
 
+def first_examples(spark, d):
+    found = D.first_examples(classify(X.thread_notes(spark, d)), ["number", "seq", "id"])
+    return found.select("kind", "id", "signature", "position", "key", "value")
+
+
 def stitch_review_text(spark, d):
     return P.reviews(P.thread_parts(X.thread_notes(spark, d)), []).select("note_id", "reviewer", "full_text")
 
@@ -280,20 +285,26 @@ def _manifest(spark, d):
 
 
 def manifest_profiles(spark, d):
-    found = A.manifest_profiles(_manifest(spark, d), X.customer_profiles(spark, d))
+    found = A.manifest_profiles(_manifest(spark, d), X.found_profiles(spark, d))
     return found.select("author_id", "id")
 
 
 def missing_profiles(spark, d):
-    return A.missing_profiles(_manifest(spark, d), X.customer_profiles(spark, d))
+    return A.missing_profiles(_manifest(spark, d), X.found_profiles(spark, d))
 
 
 def paper_authors(spark, d):
     subs = P.submissions(X.order_submissions(spark, d), X.SITE)
-    rows = author_rows(subs, X.customer_profiles(spark, d), X.SITE, distinct=True)
+    rows = author_rows(subs, X.found_profiles(spark, d), X.SITE, distinct=True)
     return rows.select("Link", "Name", F.size("history").alias("entries"))
 
 
+def merged_profile_chains(spark, d):
+    profiles = X.merged_profiles(spark, d)
+    ids = A.merged_profiles(profiles).groupBy(F.col("profile").alias("id")).agg(F.count(F.lit(1)).alias("ids"))
+    return A.distinct_profiles(profiles).join(ids, "id").select("id", "query_id", "name", "ids")
+
+
 def profile_key_census(spark, d):
     profiles = X.customer_profiles(spark, d)
     return D.key_census(profiles.select(F.to_json("content").alias("content")), "content").select("key", "rows")
@@ -357,6 +368,16 @@ def jsonl_roundtrip(spark, d):
                        F.try_element_at(first["ratings"], F.lit("quantity")).alias("quantity"))
 
 
+def jsonl_reviews(spark, d):
+    """The nested reviews of the JSON lines, whole."""
+    papers, reviews = _order_papers(spark, d)
+    path = fresh_dir(spark, "jsonl")
+    writers.write_nested(plan.nested_papers(papers, reviews), path)
+    rows = readers.scan_nested_papers(spark, path).select("forum", F.posexplode("reviews").alias("place", "r"))
+    return rows.select("forum", "place", "r.reviewer_handle", "r.reviewer_signature", "r.note_id", "r.full_text",
+                       _pairs("r.ratings").alias("ratings"), "r.rebuttal_text")
+
+
 def id_manifest_roundtrip(spark, d):
     path = fresh_dir(spark, "ids")
     writers.write_id_manifest(_manifest(spark, d), path)
@@ -378,7 +399,7 @@ def incremental_papers(spark, d):
 
 def incremental_profiles(spark, d):
     landing, base = fresh_dir(spark, "landing"), fresh_dir(spark, "incremental")
-    writers.write_nested(X.customer_profiles(spark, d).repartition(4, "query_id"), landing)
+    writers.write_nested(X.found_profiles(spark, d).repartition(4, "query_id"), landing)
     run = stream_profiles.ProfileStream(base)
     run.run(spark, landing, max_files_per_batch=2)
     done = run.profiles(spark)
@@ -390,6 +411,86 @@ def incremental_profiles(spark, d):
                        F.lit("pending").alias("state")))
 
 
+def _waves(spark, landing, notes, n, by):
+    """Land the notes in n parts that the caller takes in one after the other."""
+    parted = stage(notes.withColumn("wave", F.pmod(by, F.lit(n))), "waves", "wave")
+    for wave in range(n):
+        parted.where(F.col("wave") == wave).drop("wave").write.mode("append").json(landing)
+        yield wave
+
+
+def _older_buckets(buckets):
+    """The map before decisions were final: one label was called otherwise and another not there yet."""
+    changed = F.when(F.col("ord") == 2, F.lit("Undecided")).otherwise(F.col("decision"))
+    return buckets.where("ord <> 3").withColumn("decision", changed)
+
+
+def incremental_paper_rows(spark, d):
+    """Papers of three increments, between which the decision buckets changed."""
+    landing, base = fresh_dir(spark, "landing"), fresh_dir(spark, "incremental")
+    buckets = X.order_buckets(spark, d)
+    for wave in _waves(spark, landing, X.order_notes(spark, d), 3, F.crc32("id")):
+        run = stream_papers.PaperStream(base, X.VENUE, OPTS, _older_buckets(buckets) if wave == 0 else buckets, X.ORDER_RATINGS, tier=2)
+        run.run(spark, landing)
+    # buckets and columns of the last run are kept with it
+    again = stream_papers.PaperStream(base, X.VENUE, OPTS)
+    return again.papers(spark).select("forum", "type", "bucket", "title", "keywords", "meta_review_text", "meta_reviewer_handle", "n_reviews")
+
+
+def incremental_top_n(spark, d):
+    """At most 100 valid submissions of each bucket, over increments."""
+    landing, base = fresh_dir(spark, "landing"), fresh_dir(spark, "incremental")
+    opts = plan.Options(site=X.SITE, limit_per_bucket=100)
+    for _ in _waves(spark, landing, X.order_notes(spark, d), 2, F.crc32("id")):
+        run = stream_papers.PaperStream(base, X.VENUE, opts, X.order_buckets(spark, d))
+        run.run(spark, landing)
+    return run.papers(spark).select("forum", "bucket", "n_reviews")
+
+
+def two_venues_one_slug(spark, d):
+    """Two venues whose files would have one name, landed in one folder and run under one base."""
+    landing, base = fresh_dir(spark, "landing"), fresh_dir(spark, "incremental")
+    notes = X.thread_notes(spark, d)
+    other = X.VENUE.replace("/Main", "_Main")
+    renamed = {c: F.concat(F.lit("g"), F.substring(c, 2, 100)) for c in ("forum", "id", "replyto")}
+    notes.unionByName(notes.withColumns(renamed).withColumn("venue_id", F.lit(other))).write.json(landing)
+    tables = []
+    for venue in (X.VENUE, other):
+        run = stream_papers.PaperStream(base, venue, OPTS)
+        run.run(spark, landing)
+        tables.append(run.reviews(spark))
+    both = tables[0].unionByName(tables[1])
+    return both.select("venue_id", "forum", "note_id", "reviewer", _pairs("ratings").alias("ratings"), "rebuttal_text")
+
+
+def restart(spark, d):
+    """A new version starts over with all that landed; the old one stays as it was."""
+    landing, base = fresh_dir(spark, "landing"), fresh_dir(spark, "incremental")
+    waves = _waves(spark, landing, X.thread_notes(spark, d), 2, F.col("seq"))
+    next(waves)
+    old = stream_papers.PaperStream(base, X.VENUE, OPTS)
+    old.run(spark, landing)
+    next(waves)
+    new = stream_papers.PaperStream(base, X.VENUE, plan.Options(site=X.SITE, separator=" | "), version=2)
+    new.run(spark, landing)
+    kept = old.reviews(spark).select(F.lit(1).alias("version"), "forum", "note_id", F.lit("").alias("rebuttal_text"))
+    return kept.unionByName(new.reviews(spark).select(F.lit(2).alias("version"), "forum", "note_id", "rebuttal_text"))
+
+
+def profile_retries(spark, d):
+    """Three attempts, of which some fail; what is pending is asked again."""
+    landing, base = fresh_dir(spark, "landing"), fresh_dir(spark, "incremental")
+    for attempt in (1, 2, 3):
+        rows = X.profile_attempts(spark, d, attempt)
+        rows.write.mode("append").option("ignoreNullFields", False).json(landing)
+        run = stream_profiles.ProfileStream(base, tier=2)
+        run.run(spark, landing)
+    ids = X.customer_profiles(spark, d).select(F.col("query_id").alias("author_id"))
+    pending = run.pending(spark, ids, max_attempts=3).select(F.col("author_id").alias("query_id"), F.lit(True).alias("pending"))
+    rows = run.attempts(spark).join(pending, "query_id", "left").join(run.profiles(spark).select("query_id", "id"), "query_id", "left")
+    return rows.select("query_id", "found", "attempts", F.coalesce("pending", F.lit(False)).alias("pending"), F.coalesce("id", F.lit("")).alias("id"))
+
+
 ALL = [
     reviews_with_rebuttals, general_response, resolve_target_review, reply_parent, forum_notes, note_kinds,
     note_listing, loose_note_kinds, first_of_kind, stitch_review_text, stitch_meta_text, stitch_reply_text,
@@ -400,5 +501,6 @@ ALL = [
     unpivot_history, manifest_profiles, missing_profiles, paper_authors, profile_key_census, key_contains,
     csv_roundtrip, parquet_text_roundtrip, bucket_files_union, jsonl_roundtrip, id_manifest_roundtrip,
     incremental_papers, incremental_profiles, top_5000_per_bucket, buckets_from_groups, scan_profiles, pending_forums,
-    sample_papers, bucket_files_both, scan_notes,
+    sample_papers, bucket_files_both, scan_notes, first_examples, merged_profile_chains, jsonl_reviews,
+    incremental_paper_rows, incremental_top_n, two_venues_one_slug, restart, profile_retries,
 ]

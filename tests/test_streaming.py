@@ -51,8 +51,6 @@ def test_increments_equal_one_run(spark):
 
 def test_repeated_batch_id_replaces_its_rows(spark):
     stream = PaperStream(fresh_dir(spark, "base"), VENUE, OPTS)
-    for t in (stream.notes, stream.forums, stream.review_rows, stream.paper_rows):
-        t.create(spark)
     batch = notes_df(spark, venue_notes())
     stream._batch(batch, 0)
     first = as_dicts(stream.reviews(spark), "note_id")

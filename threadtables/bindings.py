@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -186,7 +184,7 @@ def order_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- profiles from customer and nation ----
 
 def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profiles of customers in credit; a customer in debt plays a profile that is not found."""
+    """A profile for each customer, with up to 25 entries of history."""
     key, nation = F.col("c_custkey"), F.col("n_name")
 
     def entry(i: Column) -> Column:
@@ -194,7 +192,7 @@ def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(
             F.when(i % 4 != 3, _text("Position ", i.cast("string"))).alias("position"),
             F.when(i != 2, (F.lit(1990) + (key + i * 3) % 30).cast("string")).alias("start"),
-            F.when(i != key % 6, (F.lit(1991) + (key + i * 3) % 30).cast("string")).alias("end"),
+            F.when(i != key % 26, (F.lit(1991) + (key + i * 3) % 30).cast("string")).alias("end"),
             F.struct(
                 F.when(shape % 2 == 1, nation).alias("name"),
                 F.when(F.floor(shape / 2) % 2 == 1, _text(F.lower(nation), ".example")).alias("domain"),
@@ -218,10 +216,10 @@ def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 2 == 0, link).alias("gscholar"), no_link.alias("dblp"), no_link.alias("semanticScholar"),
         F.when(key % 5 == 0, link).alias("orcid"), no_link.alias("linkedin"), no_link.alias("wikipedia"),
         no_link.alias("aclanthology"), expertise.alias("expertise"),
-        F.when(key % 6 != 0, F.transform(F.sequence(F.lit(1).cast("bigint"), key % 6), entry)).alias("history"),
+        F.when(key % 26 != 0, F.transform(F.sequence(F.lit(1).cast("bigint"), key % 26), entry)).alias("history"),
     )
     nations = _table(spark, sf_dir, "nation")
-    customers = _table(spark, sf_dir, "customer").where("c_acctbal >= 0")
+    customers = _table(spark, sf_dir, "customer")
     return customers.join(nations, customers.c_nationkey == nations.n_nationkey).select(
         _text("~c", key.cast("string")).alias("query_id"),
         # some ids were merged into the profile before them
@@ -230,6 +228,30 @@ def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def found_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profiles of customers in credit; a customer in debt plays a profile that is not found."""
+    lost = _table(spark, sf_dir, "customer").where("c_acctbal < 0").select(_text("~c", F.col("c_custkey").cast("string")).alias("query_id"))
+    return customer_profiles(spark, sf_dir).join(lost, "query_id", "left_anti")
+
+
+def merged_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles merged several times, over up to three hops, and some merged in a circle."""
+    key = F.col("c_custkey")
+    into = F.when((key % 40).isin(1, 2, 3, 11), key - 1).when(key % 40 == 10, key + 1).otherwise(key)
+    return _table(spark, sf_dir, "customer").select(
+        _text("~c", key.cast("string")).alias("query_id"), _text("~c", into.cast("string")).alias("id"), F.col("c_name").alias("name"))
+
+
+def profile_attempts(spark: SparkSession, sf_dir: str, attempt: int) -> DataFrame:
+    """What the given attempt lands: those not found before, without id where it fails again. A customer is found after
+    `key % 4` failures; some that are never found are not asked a third time."""
+    customers = customer_profiles(spark, sf_dir)
+    key = F.substring("query_id", 3, 20).cast("bigint")
+    asked = customers.where((key % 4 >= attempt - 1) & ~((key % 8 == 7) & F.lit(attempt == 3)))
+    ok = key % 4 == attempt - 1
+    return asked.select("query_id", F.when(ok, F.col("id")).alias("id"), F.when(ok, F.col("content")).alias("content"))
+
+
 # ---- texts from documents, JSON from events ----
 
 def quoted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,7 +272,3 @@ def event_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select(
         "event_id", F.when(F.col("event_id") % 2 == 0, mixed).otherwise(F.col("props")).alias("content")
     )
-
-
-def union_all(tables: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, tables)

@@ -10,9 +10,10 @@ from threadtables.functions import text as T
 from threadtables.operators.classify import in_venue
 from threadtables.operators.skew import group_rank
 from threadtables.operators.threads import FORUM
+from threadtables.session import stage
 
-# Parts of a bucket that are cut to their own first n before the whole is ranked.
-PARTS = 64
+# Counts of the histogram that finds where the first n of a bucket end.
+BINS = 1024
 
 
 def is_reject(decision: Column) -> Column:
@@ -69,16 +70,35 @@ def bucket_candidates(submissions: DataFrame, buckets: DataFrame) -> DataFrame:
     return keyed.join(routes, on).select("s.*", "b.bucket", "b.ord", "b.is_reject").drop("by_id", "route_key")
 
 
+def _bin(number: Column, lo: Column, hi: Column) -> Column:
+    """Which of BINS equal parts of lo..hi a number falls into; no number comes first."""
+    part = F.floor((number.cast("double") - lo) / (hi - lo) * BINS)
+    return F.when(number.isNull(), -1).when(hi > lo, F.least(part, F.lit(BINS - 1))).otherwise(0)
+
+
 def top_n_per_bucket(candidates: DataFrame, n: int) -> DataFrame:
     """The first n candidates of each bucket by number, then id.
 
-    Each bucket is cut in PARTS by hash of the forum; what is past n in its part is dropped, the rest ranked as a whole.
+    A histogram of each bucket's numbers, BINS counts at most, tells the bin in which its n-th candidate lies. What falls
+    into earlier bins is taken, and only the rows of that bin are ranked, on a path that takes groups of any size.
     """
-    keys, order = ["venue_id", "ord"], ["number", "forum"]
-    part = F.pmod(F.xxhash64("forum"), F.lit(PARTS))
-    in_part = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
-    first = candidates.withColumn("_part", part).withColumn("_n", in_part).where(F.col("_n") <= n).drop("_n", "_part")
-    return group_rank(first, keys, order, "_n").where(F.col("_n") <= n).drop("_n")
+    keys, columns = ["venue_id", "ord"], candidates.columns
+    rows = stage(candidates, "candidates")
+    ends = rows.groupBy(*keys).agg(F.min("number").cast("double").alias("_lo"), F.max("number").cast("double").alias("_hi"))
+    placed = lambda table: rows.join(table, keys).withColumn("_bin", _bin(F.col("number"), F.col("_lo"), F.col("_hi")))
+    counts = placed(ends).groupBy(*keys, "_lo", "_hi", "_bin").agg(F.count(F.lit(1)).alias("_rows"))
+    # the counts are added up in order until they reach n; a bucket of fewer rows is taken whole
+    start = F.struct(F.lit(None).cast("bigint").alias("cut"), F.lit(0).cast("bigint").alias("before"))
+    step = lambda at, x: (
+        F.when(at["cut"].isNotNull(), at)
+        .when(at["before"] + x["_rows"] >= n, F.struct(x["_bin"].alias("cut"), at["before"].alias("before")))
+        .otherwise(F.struct(at["cut"].alias("cut"), (at["before"] + x["_rows"]).alias("before"))))
+    listed = F.array_sort(F.collect_list(F.struct(F.col("_bin").cast("bigint").alias("_bin"), "_rows")))
+    cuts = counts.groupBy(*keys, "_lo", "_hi").agg(F.aggregate(listed, start, step).alias("_at"))
+    cuts = stage(cuts.select(*keys, "_lo", "_hi", F.coalesce("_at.cut", F.lit(BINS)).alias("_cut"), F.col("_at.before").alias("_before")), "cuts")
+    found = placed(cuts)
+    edge = group_rank(found.where("_bin = _cut").select(*columns, "_before"), keys, ["number", "forum"], "_n")
+    return found.where("_bin < _cut").select(*columns).unionByName(edge.where(F.col("_n") <= n - F.col("_before")).select(*columns))
 
 
 def drop_reject_without_reviews(candidates: DataFrame, review_counts: DataFrame) -> DataFrame:

@@ -97,6 +97,16 @@ def first_of_kind(classified: DataFrame, order: list[str]) -> DataFrame:
     return classified.groupBy("kind").agg(F.min_by(example, place).alias("first")).select("kind", "first.*")
 
 
+def first_examples(classified: DataFrame, order: list[str]) -> DataFrame:
+    """The first note of each kind, and the first author reply, with all its content: one row per key."""
+    kinds = F.when(F.col("is_reply"), F.array("kind", F.lit("author_reply"))).otherwise(F.array("kind"))
+    example = F.struct("forum", "id", F.coalesce(F.get("signatures", F.lit(0)), F.lit("?")).alias("signature"), F.map_entries("parsed").alias("entries"))
+    first = classified.select("*", F.explode(kinds).alias("example_of")).groupBy("example_of").agg(F.min_by(example, F.struct(*order)).alias("first"))
+    rows = first.select(F.col("example_of").alias("kind"), "first.forum", "first.id", "first.signature", F.posexplode("first.entries").alias("position", "entry"))
+    shown = F.when(F.col("entry.value").isNull(), "").otherwise(F.coalesce("entry.value.text", F.lit("None")))
+    return rows.select("kind", "forum", "id", "signature", "position", F.col("entry.key").alias("key"), shown.alias("value"))
+
+
 def key_census(objects: DataFrame, content: str, example_length: int = 300) -> DataFrame:
     """Keys of a column of JSON objects: how many rows have each, and the smallest start of its JSON text."""
     keys = objects.select(F.explode(C.parse_raw(F.col(content))).alias("key", "value"))

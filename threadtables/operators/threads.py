@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,61 +11,66 @@ from threadtables.session import stage
 
 FORUM = ["venue_id", "forum"]
 MAX_HOPS = 12
-HOPS_PER_ROUND = 4
+JOINS_PER_ROUND = 2
+
 
+def _pointers(parts: DataFrame) -> DataFrame:
+    """One row per note id that is there or answered: `at`, where one hop leads (NULL where the walk ends), `hops` made,
+    whether `at` is a review (`found`), and whether an author reply answers the note (`start`).
 
-def _nodes(parts: DataFrame) -> DataFrame:
-    """One row per note id: what it answers (of the last copy) and whether it is a review."""
-    return parts.where(~F.col("part").isin(REPLY, SUBMISSION)).groupBy(*FORUM, F.col("id").alias("node")).agg(
-        F.max_by("replyto", F.struct("seq", "replyto")).alias("next"),
-        F.max(F.col("part") == REVIEW).alias("node_is_review"),
+    A review points at itself without a hop. Of several copies of a note the last one counts.
+    """
+    reply = F.col("part") == REPLY
+    rows = parts.where((F.col("part") != SUBMISSION) & (~reply | ((F.col("replyto") != "") & (F.col("replyto") != F.col("forum")))))
+    nodes = rows.groupBy(*FORUM, F.when(reply, F.col("replyto")).otherwise(F.col("id")).alias("node")).agg(
+        F.max_by("replyto", F.when(~reply, F.struct("seq", "replyto"))).alias("next"),
+        F.max(F.col("part") == REVIEW).alias("found"), F.max(reply).alias("start"),
     )
+    return nodes.select(
+        *FORUM, "node", F.when(F.col("found"), F.col("node")).otherwise(F.nullif("next", F.lit(""))).alias("at"),
+        F.when(F.col("found"), 0).otherwise(1).alias("hops"), "found", "start")
 
 
-def _hop(frontier: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Look at the note `cur` points at: a review ends the walk, any other note hands on what it answers.
+def _doubled(pointers: DataFrame) -> DataFrame:
+    """Pointers that go twice as far. A note that is not there ends a walk; a review that was found is kept.
 
-    Finished rows join on their own start, so they spread over the partitions instead of meeting at NULL.
+    Ended rows join on their own node, so they spread over the partitions instead of meeting at NULL.
     """
-    probe = frontier.withColumn("probe", F.coalesce("cur", "start")).alias("f")
+    walking = ~F.col("p.found") & F.col("p.at").isNotNull()
+    steps = pointers.withColumn("probe", F.when(~F.col("found") & F.col("at").isNotNull(), F.col("at")).otherwise(F.col("node"))).alias("p")
     meets = (
-        (F.col("f.venue_id") == F.col("n.venue_id")) & (F.col("f.forum") == F.col("n.forum"))
-        & (F.col("f.probe") == F.col("n.node")) & F.col("f.cur").isNotNull()
-    )
-    found = F.coalesce("n.node_is_review", F.lit(False))
-    return probe.join(nodes.alias("n"), meets, "left").select(
-        "f.venue_id", "f.forum", "f.start",
-        F.when(found, F.col("f.cur")).otherwise(F.col("f.target")).alias("target"),
-        F.when(~found, F.nullif("n.next", F.lit(""))).alias("cur"),
+        (F.col("p.venue_id") == F.col("n.venue_id")) & (F.col("p.forum") == F.col("n.forum"))
+        & (F.col("p.probe") == F.col("n.node")) & walking
     )
+    ahead = pointers.select(*FORUM, "node", "at", "hops", "found").alias("n")
+    return steps.join(ahead, meets, "left").select(
+        "p.venue_id", "p.forum", "p.node", F.when(walking, F.col("n.at")).otherwise(F.col("p.at")).alias("at"),
+        F.when(walking, F.col("p.hops") + F.col("n.hops")).otherwise(F.col("p.hops")).alias("hops"),
+        F.when(walking, F.coalesce("n.found", F.lit(False))).otherwise(F.col("p.found")).alias("found"), "p.start")
 
 
 def resolve_targets(parts: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
     """(venue_id, forum, start, target): the review reached from `start`, the note an author reply answers.
 
-    The walk follows distinct starts, not replies, so many answers to one note are one row here. It runs a few
-    joins at a time and stops as soon as no chain is open; a missing parent, the hop limit or a cycle end a chain.
+    The walk is by notes, not replies, so many answers to one note are one row here. Each round lets every pointer go as
+    far again as the one it points at, so `max_hops` notes are met in log2(max_hops) joins, and a written table ends
+    every two of them; it stops as soon as no pointer of a start is open. A missing parent, the hop limit or a cycle end
+    a chain: pointers in a cycle go on, but what they find lies beyond the limit.
     """
-    frontier = (
-        parts.where((F.col("part") == REPLY) & (F.col("replyto") != "") & (F.col("replyto") != F.col("forum")))
-        .select(*FORUM, F.col("replyto").alias("start")).distinct()
-        .select("*", F.lit(None).cast("string").alias("target"), F.col("start").alias("cur"))
-    )
-    if frontier.isEmpty():
-        return frontier.select(*FORUM, "start", "target")
-    open_forums = frontier.select(*FORUM).distinct()
-    nodes = stage(_nodes(parts.join(open_forums, FORUM, "left_semi")), "answered-notes")
-    resolved, left = [], max_hops
-    while left > 0:
-        for _ in range(min(left, HOPS_PER_ROUND)):
-            frontier = _hop(frontier, nodes)
-        left -= HOPS_PER_ROUND
-        frontier = stage(frontier, "reply-walk")
-        resolved.append(frontier.where("target IS NOT NULL").select(*FORUM, "start", "target"))
-        frontier = frontier.where("cur IS NOT NULL")
-        if left > 0 and frontier.isEmpty():
+    replying = parts.where((F.col("part") == REPLY) & (F.col("replyto") != "") & (F.col("replyto") != F.col("forum")))
+    if replying.isEmpty():
+        return replying.select(*FORUM, F.col("replyto").alias("start"), F.lit(None).cast("string").alias("target"))
+    open_forums = replying.select(*FORUM).distinct()
+    pointers = stage(_pointers(parts.join(open_forums, FORUM, "left_semi")), "reply-pointers")
+    rounds = max(0, max_hops - 1).bit_length()
+    for k in range(0, rounds, JOINS_PER_ROUND):
+        if pointers.where("start AND NOT found AND at IS NOT NULL").isEmpty():
             break
-    return reduce(DataFrame.unionByName, resolved)
+        for _ in range(min(JOINS_PER_ROUND, rounds - k)):
+            pointers = _doubled(pointers)
+        pointers = stage(pointers, "reply-pointers")
+    reached = pointers.where(F.col("start") & F.col("found") & (F.col("hops") < max_hops))
+    return reached.select(*FORUM, F.col("node").alias("start"), F.col("at").alias("target"))
 
 
 def with_target(replies: DataFrame, targets: DataFrame) -> DataFrame:

@@ -78,6 +78,40 @@ def paper_table(parts: DataFrame, replies: DataFrame, buckets: DataFrame, opts:
     )
 
 
+def paper_facts(parts: DataFrame, replies: DataFrame, opts: Options) -> DataFrame:
+    """One row per submission with all that a paper row holds and its bucket depends on, but no bucket yet."""
+    papers = (
+        P.submissions(P.root_notes(parts), opts.site)
+        .join(P.decision_and_meta(parts), FORUM, "left")
+        .join(P.general_response(replies, opts.separator), FORUM, "left")
+        .join(P.review_counts(parts), FORUM, "left")
+    )
+    text = {c: F.coalesce(c, F.lit("")) for c in ("meta_review_text", "meta_reviewer_handle", "general_response")}
+    return papers.withColumns(text).withColumn("n_reviews", F.coalesce("n_reviews", F.lit(0).cast("bigint"))).select(
+        *FORUM, "number", "link", "title", "authors", "author_ids", "keywords", "abstract", "primary_area",
+        "submission_number", "venue", "venueid", "decision", "meta_review_text", "meta_reviewer_handle",
+        "general_response", "n_reviews",
+    )
+
+
+def routed_papers(facts: DataFrame, buckets: DataFrame, opts: Options) -> DataFrame:
+    """Paper rows of the chosen submissions: matched, limited, rejects without reviews dropped, first bucket kept.
+
+    Submissions are routed by their narrow columns alone, and the wide ones joined to those that are chosen.
+    """
+    narrow = facts.select(*FORUM, "number", "venue", "venueid", "n_reviews")
+    candidates = B.bucket_candidates(narrow, buckets)
+    if opts.limit_per_bucket is not None:
+        candidates = B.top_n_per_bucket(candidates, opts.limit_per_bucket)
+    chosen = B.first_bucket(candidates.where(~(F.col("is_reject") & (F.col("n_reviews") == 0)))).select(*FORUM, "bucket")
+    papers = facts.join(chosen, FORUM).withColumn("type", F.coalesce("decision", "bucket"))
+    return papers.select(
+        *FORUM, "link", "title", "authors", "author_ids", "keywords", "abstract", "primary_area",
+        "submission_number", "type", "meta_review_text", "meta_reviewer_handle", "general_response", "bucket",
+        "n_reviews",
+    )
+
+
 def last_copies(notes: DataFrame) -> DataFrame:
     """Each note once: of several copies of an id the one with the greatest `seq`, then content.
 
