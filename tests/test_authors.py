@@ -1,4 +1,5 @@
 import json
+import random
 
 from threadtables.operators import authors as A
 from threadtables.operators.reshape import unpivot_history, wide_history
@@ -75,3 +76,29 @@ def test_years_of_any_type_are_shown(spark):
     spark.createDataFrame([(line,)], "value string").write.text(path)
     rows = A.long_history(A.author_table(readers.scan_profiles(spark, path), "https://s")).orderBy("history_idx").collect()
     assert [(r["start"], r["end"]) for r in rows] == [("2015", "2017"), ("2015", "2016.5"), ("0", "Present"), ("", "now")]
+
+
+def test_merges_are_followed_to_their_end(spark):
+    """Random chains, circles and ends that were not requested, against a plain walk."""
+    draw = random.Random(5)
+    names = [f"~n{i}" for i in range(400)]
+    into = {n: draw.choice([n, names[max(0, i - 1)], names[max(0, i - 1)], draw.choice(names), "~gone"]) for i, n in enumerate(names)}
+    into |= {f"~long{i}": f"~long{i + 1}" for i in range(70)} | {"~x1": "~x2", "~x2": "~x3", "~x3": "~x1", "~tail": "~x3", "~tail0": "~tail"}
+    wanted = {}
+    for n in into:
+        path, at = [n], into[n]
+        while at in into and at not in path:
+            path.append(at)
+            at = into[at]
+        if at not in into:
+            wanted[n] = at
+        else:
+            wanted[n] = at if into[at] == at else min(path[path.index(at):])
+    profiles = spark.createDataFrame([(q, i, "x") for q, i in into.items()], "query_id string, id string, name string")
+    assert {r["query_id"]: r["profile"] for r in A.merged_profiles(profiles).collect()} == wanted
+    kept = A.distinct_profiles(profiles)
+    assert kept.columns == profiles.columns
+    assert {r["id"] for r in kept.collect()} == set(wanted.values()) and kept.count() == len(set(wanted.values()))
+    chain = spark.createDataFrame([("~a", "~b", 1), ("~b", "~c", 2), ("~c", "~c", 3), (None, "~d", 4)], "query_id string, id string, n int")
+    assert sorted((r["id"], r["n"]) for r in A.distinct_profiles(chain).collect()) == [("~c", 2), ("~d", 4)]
+    assert A.distinct_profiles(chain.limit(0)).count() == 0

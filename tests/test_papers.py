@@ -184,3 +184,15 @@ def test_firsts(spark):
     assert R.first_match_or_first(df, F.col("type") == "b", ["n"]).first()["n"] == 3
     assert R.first_match_or_first(df, F.col("type") == "z", ["n"]).first()["n"] == 1
     assert [r["n"] for r in R.sample_rows(df, ["n"], 2).collect()] == [1, 2]
+
+
+def test_top_n_with_ties_gaps_and_missing_numbers(spark):
+    numbers = [None] * 5 + [7] * 300 + [10**12 + i for i in range(200)] + [-(2**62), 2**62]
+    rows = [("v", 0, f"f{i:04}", n, "x") for i, n in enumerate(numbers)] + [("v", 1, f"g{i}", None, "y") for i in range(4)]
+    df = spark.createDataFrame(rows, "venue_id string, ord int, forum string, number bigint, title string")
+    for n in (0, 3, 6, 200, 400, 10_000):
+        order = lambda r: (r[3] is not None, r[3] or 0, r[2])
+        first = {r for bucket in (0, 1) for r in sorted((r for r in rows if r[1] == bucket), key=order)[:n]}
+        found = B.top_n_per_bucket(df, n)
+        assert found.columns == df.columns and sorted(map(tuple, found.collect()), key=str) == sorted(first, key=str)
+    assert B.top_n_per_bucket(df.limit(0), 3).count() == 0
