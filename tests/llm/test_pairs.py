@@ -332,3 +332,20 @@ def test_rows_without_id_and_with_equal_crc_stay_apart(spark):
     rows = [(None, "\n".join([lines[0], "x" * 30])), (5, lines[0])]
     kept = {r["text"] for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
     assert kept == {rows[0][1], ""}
+
+
+def test_sketches_count_the_values_that_differ(spark):
+    rng = random.Random(12)
+    n = line_dedup.BANDS * line_dedup.ROWS
+    rows = [([rng.randrange(1 << 32) for _ in range(n)], rng.randrange(n + 1)) for _ in range(200)]
+    rows = [(a, [x ^ (1 + rng.randrange(255) if i < k else 0) for i, x in enumerate(a)], k) for a, k in rows]
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>, k int")
+    for side in "ab":
+        df = _with_words(df, side, n)
+    assert df.where(line_dedup._differing("sa", "sb") != F.col("k")).count() == 0
+    assert line_dedup.may_differ(80) == 17 and line_dedup.may_differ(100) == 0
+
+
+def _with_words(df, side, n):
+    flat = df.select("*", *(F.col(side)[i].alias(f"m{i}") for i in range(n)))
+    return flat.select(*df.columns, F.struct(*(line_dedup._word(w).alias(f"w{w}") for w in range(line_dedup.WORDS))).alias(f"s{side}"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from threadtables.llm.components import connected
@@ -12,6 +14,8 @@ from threadtables.session import stage
 SHINGLE = 8
 #: A pair at similarity 0.8 shares one of the bands with odds of about 0.999, at 0.85 of 0.9999.
 BANDS, ROWS = 10, 3
+#: Longs that hold a byte of each value of a signature, 7 in each.
+WORDS = -(-BANDS * ROWS // 7)
 _NO_ID = -(1 << 63)
 
 
@@ -53,15 +57,40 @@ def _shingle(encoded: Column, at: Column) -> Column:
     return F.substring(encoded, at * 4 + 1, SHINGLE * 4)
 
 
-def _banded(lines: DataFrame) -> DataFrame:
-    """line_id, band: the bands of each line's signature. Shingles are hashed and their least values taken as they come."""
+def _signed(lines: DataFrame) -> DataFrame:
+    """line_id, bands, w0..: the bands of each line's signature, and a sketch of it. Shingles are hashed and their least values taken as they come."""
     # in a step of its own, or each shingle would encode the line anew
     encoded = lines.select("line_id", F.encode("line", "UTF-32").alias("encoded"), _last_start(F.col("line")).alias("last"))
     rows = encoded.select("line_id", "encoded", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("at"))
     hashed = rows.select("line_id", F.hash(_shingle(F.col("encoded"), F.col("at"))).cast("long").bitwiseAND(F.lit(_LOW)).alias("h"))
     least = hashed.groupBy("line_id").agg(*(F.min((F.col("h") * F.lit(f)).bitwiseAND(F.lit(_LOW))).alias(f"m{i}") for i, f in enumerate(_factors())))
     bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
-    return least.select("line_id", F.explode(bands).alias("band"))
+    return least.select("line_id", bands.alias("bands"), *(_word(w).alias(f"w{w}") for w in range(WORDS)))
+
+
+def _banded(lines: DataFrame) -> DataFrame:
+    """line_id, band: a row for each band of each line."""
+    return _signed(lines).select("line_id", F.explode("bands").alias("band"))
+
+
+def _word(w: int) -> Column:
+    """A byte of each of the signature's next 7 values in one long."""
+    values = range(7 * w, min(7 * w + 7, BANDS * ROWS))
+    return reduce(Column.bitwiseOR, [F.shiftleft(F.col(f"m{i}").bitwiseAND(F.lit(255)), 8 * (i - 7 * w)) for i in values])
+
+
+def _differing(one: str, two: str) -> Column:
+    """In how many values two sketches differ: the bytes of their XOR that are not 0, counted in a few steps for each long."""
+    low, high = F.lit(0x7F7F7F7F7F7F7F), F.lit(0x80808080808080)
+    xors = [F.col(f"{one}.w{w}").bitwiseXOR(F.col(f"{two}.w{w}")) for w in range(WORDS)]
+    return reduce(Column.__add__, [F.bit_count((x.bitwiseAND(low) + low).bitwiseOR(x).bitwiseAND(high)) for x in xors])
+
+
+def may_differ(percent: int) -> int:
+    """Values of the signature that two lines may differ in: at 80 percent 17 of 30, which leaves out 2 of a million pairs
+    that are just similar enough, far fewer than share no band."""
+    n, p = BANDS * ROWS, percent / 100
+    return n - max(0, int(n * p - 5 * (n * p * (1 - p)) ** 0.5))
 
 
 def _shingles(line: str) -> Column:
@@ -84,21 +113,26 @@ def similar_lines(lines: DataFrame, percent: int = 80) -> DataFrame:
     """a, b: links between different lines (line_id, line) that connect all similar lines that share a band.
 
     The lines of each band are ranked, those first that meet most others. In each round the next ranks of every band
-    (1, then 3, 12, 48, ...) are probes: each is compared exactly with all lines ranked after it that are not yet in
-    its component. A line that was linked stays a probe for the rest. A band is left once the lines not yet probed are
+    (1, then 3, 12, 48, ...) are probes: each is compared with all lines ranked after it that are not yet in its
+    component, first by the sketches, inside the join, and then exactly. A line that was linked stays a probe for the rest. A band is left once the lines not yet probed are
     in one component, so in the end every pair of each band was compared or is connected.
     """
-    bands = stage(_banded(lines), "bands")
+    signed = stage(_signed(lines), "signatures")
+    sketch = [f"w{w}" for w in range(WORDS)]
+    bands = signed.select("line_id", F.explode("bands").alias("band"))
     shared = stage(bands.join(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "band"), "shared-bands")
     order = shared.groupBy("line_id").agg((-F.sum("n")).alias("order"))
     near_lines = stage(lines.join(order, "line_id", "left_semi"), "near-lines")  # only lines that share a band are ever compared
+    order = stage(order.join(signed.select("line_id", *sketch), "line_id"), "sketches")
     ranked = group_slots(shared.select("band", "line_id").join(order, "line_id"), ["band"], ["order", "line_id"], "rank")
-    active = stage(ranked.select("band", "line_id", "rank", F.col("line_id").alias("root")), "bands")
+    columns = ["band", "line_id", "rank", *sketch]
+    active = stage(ranked.select(*columns, F.col("line_id").alias("root")), "bands")
     links = active.select(F.col("line_id").alias("a"), F.col("root").alias("b")).limit(0)
     compared, probed = None, 1
     while not active.isEmpty():
-        probes = active.where(F.col("rank") < probed).select("band", F.col("line_id").alias("probe"), F.col("rank").alias("at"), F.col("root").alias("own"))
-        pairs = active.join(probes, "band").where("rank > at and root <> own")
+        probes = active.where(F.col("rank") < probed).select("band", F.col("line_id").alias("probe"), F.col("rank").alias("at"), F.col("root").alias("own"), *sketch)
+        close = _differing("x", "p") <= may_differ(percent)
+        pairs = active.alias("x").join(probes.alias("p"), (F.col("x.band") == F.col("p.band")) & (F.col("rank") > F.col("at")) & (F.col("root") != F.col("own")) & close)
         pairs = pairs.select(F.least("line_id", "probe").alias("a"), F.greatest("line_id", "probe").alias("b")).distinct()
         pairs = stage(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "line-pairs")
         compared = pairs if compared is None else compared.unionByName(pairs)
@@ -107,7 +141,7 @@ def similar_lines(lines: DataFrame, percent: int = 80) -> DataFrame:
         if not found.isEmpty():
             links = stage(connected(links.unionByName(found)).select(F.col("node").alias("a"), F.col("root").alias("b")), "line-groups")
             rest = rest.drop("root").join(links.withColumnRenamed("a", "line_id"), "line_id", "left")
-            rest = rest.select("band", "line_id", "rank", F.coalesce("b", "line_id").alias("root"))
+            rest = rest.select(*columns, F.coalesce("b", "line_id").alias("root"))
         parted = rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
         active = stage(rest.join(parted, "band", "left_semi"), "bands")
         probed *= 4
