@@ -16,6 +16,8 @@ SHINGLE = 8
 BANDS, ROWS = 10, 3
 #: Longs that hold a byte of each value of a signature, 7 in each.
 WORDS = -(-BANDS * ROWS // 7)
+#: Longs of the parity sketch of a line's shingle set, 64 bits in each.
+PARITIES = 16
 _NO_ID = -(1 << 63)
 
 
@@ -100,6 +102,24 @@ def _shingles(line: str) -> Column:
     return F.array_distinct(F.get(once, F.lit(0)))
 
 
+def _parities(lines: DataFrame) -> DataFrame:
+    """line_id, size, x0..: the number of different shingles and, for each of 64 * PARITIES places, whether an odd
+    number of them falls there."""
+    rows = lines.select("line_id", F.explode(_shingles("line")).alias("h"))
+    place = F.col("h").bitwiseAND(F.lit(64 * PARITIES - 1)).cast("int")
+    rows = rows.select("line_id", F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
+    words = (F.bit_xor(F.when(F.col("word") == x, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"x{x}") for x in range(PARITIES))
+    return rows.groupBy("line_id").agg(F.count("*").alias("size"), *words)
+
+
+def _may_be_similar(one: str, two: str, percent: int) -> Column:
+    """Whether two sets may overlap by `percent`, without any doubt if not: a place whose parity differs needs a shingle
+    that only one set holds, and similar sets hold at most (100 - percent) / (100 + percent) of both sizes of these."""
+    both = (F.col(f"{one}.size") + F.col(f"{two}.size")) * (100 - percent)
+    odd = reduce(Column.__add__, [F.bit_count(F.col(f"{one}.x{x}").bitwiseXOR(F.col(f"{two}.x{x}"))) for x in range(PARITIES)])
+    return ((100 + percent) * F.abs(F.col(f"{one}.size") - F.col(f"{two}.size")) <= both) & ((100 + percent) * odd <= both)
+
+
 def _verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     """The pairs whose shingle sets overlap by `percent` of their union."""
     side = lambda x: lines.select(F.col("line_id").alias(x), F.col("line").alias(f"line_{x}"))
@@ -114,24 +134,25 @@ def similar_lines(lines: DataFrame, percent: int = 80) -> DataFrame:
 
     The lines of each band are ranked, those first that meet most others. In each round the next ranks of every band
     (1, then 3, 12, 48, ...) are probes: each is compared with all lines ranked after it that are not yet in its
-    component, first by the sketches, inside the join, and then exactly. A line that was linked stays a probe for the rest. A band is left once the lines not yet probed are
-    in one component, so in the end every pair of each band was compared or is connected.
+    component, first by sketches, inside the join, and then exactly; what leaves the join is little but similar pairs.
+    A line that was linked stays a probe for the rest. A band is left once the lines not yet probed are in one
+    component, so in the end every pair of each band was compared or is connected.
     """
     signed = stage(_signed(lines), "signatures")
-    sketch = [f"w{w}" for w in range(WORDS)]
+    sketch = [*(f"w{w}" for w in range(WORDS)), "size", *(f"x{x}" for x in range(PARITIES))]
     bands = signed.select("line_id", F.explode("bands").alias("band"))
     shared = stage(bands.join(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "band"), "shared-bands")
     order = shared.groupBy("line_id").agg((-F.sum("n")).alias("order"))
     near_lines = stage(lines.join(order, "line_id", "left_semi"), "near-lines")  # only lines that share a band are ever compared
-    order = stage(order.join(signed.select("line_id", *sketch), "line_id"), "sketches")
+    sketches = stage(signed.drop("bands").join(_parities(near_lines), "line_id"), "sketches")
     ranked = group_slots(shared.select("band", "line_id").join(order, "line_id"), ["band"], ["order", "line_id"], "rank")
     columns = ["band", "line_id", "rank", *sketch]
-    active = stage(ranked.select(*columns, F.col("line_id").alias("root")), "bands")
+    active = stage(ranked.join(sketches, "line_id").select(*columns, F.col("line_id").alias("root")), "bands")
     links = active.select(F.col("line_id").alias("a"), F.col("root").alias("b")).limit(0)
     compared, probed = None, 1
     while not active.isEmpty():
         probes = active.where(F.col("rank") < probed).select("band", F.col("line_id").alias("probe"), F.col("rank").alias("at"), F.col("root").alias("own"), *sketch)
-        close = _differing("x", "p") <= may_differ(percent)
+        close = _may_be_similar("x", "p", percent) & (_differing("x", "p") <= may_differ(percent))
         pairs = active.alias("x").join(probes.alias("p"), (F.col("x.band") == F.col("p.band")) & (F.col("rank") > F.col("at")) & (F.col("root") != F.col("own")) & close)
         pairs = pairs.select(F.least("line_id", "probe").alias("a"), F.greatest("line_id", "probe").alias("b")).distinct()
         pairs = stage(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "line-pairs")
