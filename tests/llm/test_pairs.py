@@ -349,3 +349,25 @@ def test_sketches_count_the_values_that_differ(spark):
 def _with_words(df, side, n):
     flat = df.select("*", *(F.col(side)[i].alias(f"m{i}") for i in range(n)))
     return flat.select(*df.columns, F.struct(*(line_dedup._word(w).alias(f"w{w}") for w in range(line_dedup.WORDS))).alias(f"s{side}"))
+
+
+def test_parity_sketches_never_part_similar_lines(spark):
+    """Lines of any length with repeated shingles: whatever the sketches tell apart is less similar, and most of the
+    dissimilar pairs are told apart."""
+    rng = random.Random(31)
+    lines = []
+    for _ in range(120):
+        base = words(rng, rng.choice((1, 2, 6, 30, 120))) * rng.choice((1, 1, 2))
+        for share in (0, 0.02, 0.05, 0.2):
+            lines.append(" ".join(w if rng.random() >= share else rng.choice("qz") * rng.randrange(1, 9) for w in base))
+    lines = sorted(set(lines))
+    df = spark.createDataFrame(list(enumerate(lines)), "line_id long, line string")
+    sketches = line_dedup._parities(df)
+    sets = [{line[i:i + 8] for i in range(max(1, len(line) - 7))} for line in lines]
+    assert {r["line_id"]: r["size"] for r in sketches.collect()} == {i: len(s) for i, s in enumerate(sets)}
+    pairs = sketches.alias("x").join(sketches.alias("p"), F.expr("x.line_id < p.line_id"))
+    for percent in (80, 95):
+        passed = pairs.where(line_dedup._may_be_similar("x", "p", percent)).select("x.line_id", "p.line_id").collect()
+        passed = set(map(tuple, passed))
+        similar = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])}
+        assert similar and similar <= passed and len(passed) < 3 * len(similar) + 200

@@ -400,3 +400,29 @@ def test_longest_matches_and_removal(spark):
     assert {r["doc_id"] for r in left.collect()} == {r[0] for r in rows if r[0] not in bad} | {None}
     nothing = benchmark.limit(0)
     assert decontamination.remove_contaminated(docs, nothing).count() == len(rows) + 1
+
+
+def test_toxicity_collects_one_row_of_a_document(spark):
+    names = [f"{i}D AS {n}" for i, n in enumerate(toxicity.NAMES)]
+    rows = spark.range(500).selectExpr("id % 5 AS doc_id", "cast(id % 5 = 1 AS int) AS toxic", "0 AS part", *names)
+    found = toxicity.one_each(rows).collect()
+    assert sorted((r["toxic"], r[toxicity.NAMES[3]]) for r in found) == [(0, 3.0)] * 4 + [(1, 3.0)]
+
+
+def test_cascades_stay_within_their_bytes(spark):
+    """All levels count, whatever share of the corpus is listed."""
+    for listed, universe in ((5, 20_000), (300, 20_000), (15_000, 20_000)):
+        keys = spark.range(universe).selectExpr("concat('host ', id) AS key", f"id < {listed} AS listed")
+        built = urlfilter.cascade(keys)
+        assert sum(f.size for f in built.levels) / 8 <= 1.2 * urlfilter.expected_bytes(listed, universe) + 64
+        assert keys.where(built.holds(F.col("key")) != F.col("listed")).count() == 0
+    assert urlfilter.expected_bytes(1_000_000, 10**10) < 12e6  # 217 MB at 10 bits a key on every level
+
+
+def test_judge_in_passes_set_by_the_corpus(spark, monkeypatch):
+    pages = spark.range(3000).selectExpr("id AS page_id", "concat('https://h', id, '.net/') AS url")
+    blocked = spark.createDataFrame([("h7.net",), ("h2999.net",)], "host string")
+    assert urlfilter.expected_bytes(2, 3000) > 4
+    monkeypatch.setattr(urlfilter, "PASS_BYTES", 4)
+    found = urlfilter.judge(pages, [], blocked).where("verdict = 'block'").collect()
+    assert sorted(r["page_id"] for r in found) == [7, 2999]

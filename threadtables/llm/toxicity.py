@@ -206,12 +206,18 @@ def fit(x: np.ndarray, y: np.ndarray, part: np.ndarray) -> Forest:
     return model
 
 
+def one_each(rows: DataFrame) -> DataFrame:
+    """toxic, part and the NAMES of one row of each doc_id, so that what is collected is bounded by the ids drawn."""
+    least = rows.groupBy("doc_id", "toxic", "part").agg(F.min(F.struct(*NAMES)).alias("x"))
+    return least.select("toxic", "part", *(F.col(f"x.{n}").alias(n) for n in NAMES))
+
+
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every document, learned from `labels` (doc_id, toxic).
 
     Documents with crc32(doc_id as text) mod 5 = 0 are held out: their labels are never seen. Of the others about
     SAMPLE are drawn by hash; half of them add words to the lexicon, the other half fit the trees and, a third of it,
-    the calibration. Null and empty texts have features 0 and get a score as well; a null doc_id is not held out and
+    the calibration. Of several rows of a doc_id one is learned from (the least text, the least features). Null and empty texts have features 0 and get a score as well; a null doc_id is not held out and
     never learned from; of several labels of a document the greatest counts; without any label the score is a constant
     below 0.5. Repeated rows each get theirs; extra columns are ignored.
     """
@@ -222,10 +228,10 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     dice = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     sample = stage(known.where(dice < SAMPLE / max(n, 1)).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(6))), "labelled")
     sample = F.broadcast(sample)  # SAMPLE rows of three numbers
-    first = docs.join(sample.where("part >= 3"), "doc_id").select("text", "toxic")
+    first = docs.join(sample.where("part >= 3"), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     words = sorted(set(INSULTS) | set(lexicon(first)))
     rows = stage(features(docs, words), "toxicity-features")
-    learned = rows.join(sample.where("part < 3"), "doc_id").select("toxic", "part", *NAMES).toPandas()
+    learned = one_each(rows.join(sample.where("part < 3"), "doc_id")).toPandas()
     model = fit(learned[NAMES].to_numpy(np.float64), learned["toxic"].to_numpy(np.float64), (learned["part"] == 0).to_numpy(np.int64))
     held = F.coalesce(crc % 5 == 0, F.lit(False)).alias("held_out")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from threadtables.session import stage
 
-#: Bits for each key of a filter, and its hash functions.
+#: Bits for each key of a filter (of the first level at least so many), and its hash functions.
 KEY_BITS, HASHES = 10, 3
 #: Bytes of the filters that one pass over the URLs takes along; longer lists make more passes.
 PASS_BYTES = 4 << 20
@@ -44,8 +45,23 @@ def _shifted(word: Column, place: Column) -> Column:
     return F.call_function("shiftrightunsigned", word, (place % 64).cast("int"))
 
 
-def _filter(keys: DataFrame, n: int, level: int) -> Filter:
-    out = Filter(level, max(64, -(-n * KEY_BITS // 64) * 64), [])
+def first_bits(listed: int, universe: int) -> int:
+    """Bits for each listed key at level 0 that make levels 0 and 1 smallest together: the more keys the universe has for
+    each listed one, the fewer of them may pass."""
+    return max(KEY_BITS, math.ceil(HASHES * (KEY_BITS * universe / max(listed, 1)) ** (1 / (HASHES + 1))))
+
+
+def expected_bytes(listed: int, universe: int) -> int:
+    """Bytes of a whole cascade; those beyond level 1 are a tenth of it at most."""
+    if not listed:
+        return 0
+    bits = first_bits(listed, universe)
+    passing = universe * (1 - math.exp(-HASHES / bits)) ** HASHES
+    return math.ceil(1.1 * (listed * bits + passing * KEY_BITS) / 8)
+
+
+def _filter(keys: DataFrame, n: int, level: int, bits_each: int = KEY_BITS) -> Filter:
+    out = Filter(level, max(64, -(-n * bits_each // 64) * 64), [])
     places = keys.select(F.explode(F.array(*out.positions(F.col("key")))).alias("p"))
     slices = places.groupBy(F.expr(f"p div {_SLICE}").alias("s")).agg(F.bitmap_construct_agg(F.col("p") % _SLICE).alias("bits")).collect()
     bits = np.zeros(-(-out.size // _SLICE) * _SLICE // 8, np.uint8)
@@ -79,7 +95,7 @@ def cascade(keys: DataFrame) -> Cascade:
         n = own.count()
         if not n:
             return Cascade(levels)
-        levels.append(_filter(own, n, level))
+        levels.append(_filter(own, n, level, KEY_BITS if level else first_bits(n, keys.count())))
         rest = rest.where((F.col("listed") == F.lit(level % 2 == 0)) | levels[-1].holds(F.col("key")))
 
 
@@ -107,7 +123,8 @@ def judge(pages: DataFrame, rules: list[Rule], blocked_hosts: DataFrame) -> Data
     A rule fits its host and all subdomains if the path starts with the rule's; of several the longest string decides,
     then the longer host. Without a rule a URL is blocked if its host is in `blocked_hosts` (host), else allowed. Rules
     and hosts are keys of two cascades, allow and block, built over all keys of the corpus; URLs are judged by filters
-    alone. Lists beyond PASS_BYTES are split by hash of the key and probed in several passes. A null URL has an empty
+    alone. Where the cascades over a large corpus or of long lists go beyond PASS_BYTES, keys are split by hash and
+    probed in several passes. A null URL has an empty
     host and path and is allowed; repeated rows are judged each; extra columns are ignored.
     """
     host, path = host_and_path(F.col("url"))
@@ -121,8 +138,8 @@ def judge(pages: DataFrame, rules: list[Rule], blocked_hosts: DataFrame) -> Data
     own = spark.createDataFrame([(f"rule {h}{p}", v == "allow", v == "block") for v, h, p in rules], "key string, allow boolean, block boolean")
     hosts = blocked_hosts.where("host is not null").select(F.concat(F.lit("host "), "host").alias("key"), F.lit(False).alias("allow"), F.lit(True).alias("block"))
     universe = stage(seen.unionByName(own).unionByName(hosts).groupBy("key").agg(F.max("allow").alias("allow"), F.max("block").alias("block")), "url-keys")
-    listed = universe.where("allow or block").count()
-    passes = max(1, -(-listed * KEY_BITS * 2 // (8 * PASS_BYTES)))
+    counts = universe.agg(F.count("*").alias("all"), *(F.count_if(kind).alias(kind) for kind in ("allow", "block"))).first()
+    passes = max(1, -(-sum(expected_bytes(counts[kind], counts["all"]) for kind in ("allow", "block")) // PASS_BYTES))
     part = lambda key: F.pmod(F.xxhash64(F.lit(-1), key), F.lit(passes))
     hits = {f"{c}_{kind}": F.lit(False) for c in columns for kind in ("allow", "block")}
     for g in range(passes):
