@@ -1,4 +1,6 @@
+import csv
 import json
+import random
 
 import pytest
 
@@ -95,3 +97,36 @@ def test_broken_lines_stop_the_read(spark):
     for scan in (readers.scan_notes, readers.scan_groups, readers.scan_profiles):
         with pytest.raises(Exception, match="MALFORMED"):
             scan(spark, path).collect()
+
+
+@pytest.mark.parametrize("split,whole_bytes", [("150", 0), ("1000", 0), ("128m", 0), ("128m", 1 << 20)])
+def test_records_of_any_split(spark, tmp_path, split, whole_bytes):
+    """Cells with line breaks and quotes, in files cut anywhere, equal those of a plain parser."""
+    rng = random.Random(split)
+    pieces = ["a", "é", ",", '"', "\n", "\r\n", " ", "\n\n", '""', "x" * 30]
+    rows = [["".join(rng.choices(pieces, k=rng.randrange(6))) or "e" for _ in range(3)] for _ in range(120)] + [["long\n" * 50, "", '"'], ["", "", ""]]
+    header = ["h\n1", 'h "2"', "h.3"]
+    (tmp_path / "t.csv").mkdir()
+    for i in range(3):
+        with open(tmp_path / "t.csv" / f"part-{i}.csv", "w", newline="", encoding="utf-8") as f:
+            csv.writer(f, lineterminator="\n").writerows([header, *rows[i::3]])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        read = readers.read_text_csv(spark, str(tmp_path / "t.csv"), whole_bytes)
+        assert read.columns == header
+        assert sorted(map(tuple, read.collect())) == sorted(map(tuple, rows))
+        tasks = spark.read.text(str(tmp_path / "t.csv")).rdd.getNumPartitions()
+        assert (tasks > 3) == (split != "128m")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_empty_lines_and_empty_files(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("h\n\nx\n")
+    (tmp_path / "two.csv").write_text("h,i\n\nx,\n")
+    (tmp_path / "none.csv").write_text("h,i\n")
+    assert sorted(map(tuple, readers.read_text_csv(spark, str(tmp_path / "one.csv")).collect())) == [("",), ("x",)]
+    assert [tuple(r) for r in readers.read_text_csv(spark, str(tmp_path / "two.csv")).collect()] == [("x", "")]
+    assert readers.read_text_csv(spark, str(tmp_path / "none.csv")).columns == ["h", "i"]
+    assert readers.read_text_csv(spark, str(tmp_path / "none.csv")).count() == 0

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadtables.sources import schemas
+from threadtables.sources.csv_records import records
 
 
 #: Broken lines are an error, in batch and in streams; else they would become rows of NULLs.
@@ -52,14 +53,27 @@ def scan_nested_papers(spark: SparkSession, path: str) -> DataFrame:
     return papers.withColumns(defaults)
 
 
-def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV table of text cells; empty cells come back as ''."""
-    df = (
-        spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-        .option("maxColumns", 1_000_000)
-        .option("inferSchema", False).csv(path)
-    )
-    return _filled(df)
+#: How text tables are written: quotes are doubled, lines end with a line feed.
+CSV = {"quote": '"', "escape": '"', "multiLine": True, "lineSep": "\n", "maxColumns": 1_000_000}
+
+
+def read_text_csv(spark: SparkSession, path: str, whole_bytes: int = 128 << 20) -> DataFrame:
+    """A CSV table of text cells; empty cells come back as ''. Every file starts with the same header.
+
+    Files of up to `whole_bytes` are read by one task each. If one is larger, its records are found first, so that many
+    tasks read it. An empty line is an empty cell of a table of one column, else nothing.
+    """
+    whole = spark.read.options(header=True, inferSchema=False, **CSV).csv(path)
+    names = whole.columns
+    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+    if largest <= whole_bytes and len(names) > 1:
+        return _filled(whole)
+    rows = records(spark, path)
+    if len(names) > 1:
+        rows = rows.where("text <> ''")
+    schema = ", ".join("`" + n.replace("`", "``") + "` string" for n in names)
+    options = {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in CSV.items()}
+    return _filled(rows.select(F.from_csv("text", F.lit(schema), options).alias("cells")).select("cells.*"))
 
 
 def _filled(df: DataFrame) -> DataFrame:
