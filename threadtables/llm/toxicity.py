@@ -102,17 +102,17 @@ def _features(chunk: Chunk, insults: np.ndarray, you: np.ndarray) -> np.ndarray:
 
 
 def features(docs: DataFrame, words: list[str]) -> DataFrame:
-    """doc_id and the NAMES as doubles; null and empty texts have all 0."""
+    """doc_id, the `print` of the text and the NAMES as doubles; null and empty texts have all 0."""
     insults, you = _prints(words), _prints(YOU)
 
     def rows(batches):
         for batch in batches:
             for chunk in chunks(batch.column(1)):
                 x = _features(chunk, insults, you)
-                ids = batch.column(0).slice(chunk.first, len(chunk))
-                yield pa.RecordBatch.from_arrays([ids, *(pa.array(np.ascontiguousarray(x[:, i])) for i in range(len(NAMES)))], names=["doc_id", *NAMES])
+                ids, prints = (batch.column(c).slice(chunk.first, len(chunk)) for c in (0, 2))
+                yield pa.RecordBatch.from_arrays([ids, prints, *(pa.array(np.ascontiguousarray(x[:, i])) for i in range(len(NAMES)))], names=["doc_id", "print", *NAMES])
 
-    return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, " + ", ".join(f"{n} double" for n in NAMES))
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("print")).mapInArrow(rows, "doc_id long, print long, " + ", ".join(f"{n} double" for n in NAMES))
 
 
 @dataclass
@@ -221,6 +221,11 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     never learned from; of several labels of a document the greatest counts; without any label the score is a constant
     below 0.5. Repeated rows each get theirs; extra columns are ignored.
     """
+    return _judged(docs, labels).drop("print")
+
+
+def _judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """`score` with the 64-bit `print` of each text."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     crc = F.crc32(F.col("doc_id").cast("string"))
     known = labels.where("doc_id is not null and toxic is not null").where(crc % 5 != 0).groupBy(F.col("doc_id").cast("long")).agg(F.max("toxic").cast("int").alias("toxic"))
@@ -237,14 +242,19 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def judge(batches):
         for batch in batches:
-            own = np.column_stack([batch.column(2 + i).to_numpy() for i in range(len(NAMES))]).reshape(batch.num_rows, len(NAMES))
+            own = np.column_stack([batch.column(3 + i).to_numpy() for i in range(len(NAMES))]).reshape(batch.num_rows, len(NAMES))
             s = np.clip(model.score(own), 0, 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(3)), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=["doc_id", "print", "held_out", "score", "predicted"])
 
-    return rows.select("doc_id", held, *NAMES).mapInArrow(judge, "doc_id long, held_out boolean, score double, predicted int")
+    return rows.select("doc_id", "print", held, *NAMES).mapInArrow(judge, "doc_id long, print long, held_out boolean, score double, predicted int")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns; rows without doc_id stay."""
-    bad = score(docs, labels).where("predicted = 1 and doc_id is not null").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+def drop_toxic(docs: DataFrame, labels: DataFrame, without_id: bool = False) -> DataFrame:
+    """The documents that are not predicted toxic, with all their columns. Rows that share a doc_id are judged by their own
+    texts. Rows without doc_id stay, or are judged like others `without_id`."""
+    bad = _judged(docs, labels).where("predicted = 1")
+    if not without_id:
+        bad = bad.where("doc_id is not null")
+    bad = bad.select(F.xxhash64("doc_id", "print").alias("key")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("key"))
+    return rows.join(bad, "key", "left_anti").select("row.*")
