@@ -53,7 +53,9 @@ def _routes(buckets: DataFrame) -> DataFrame:
 def bucket_candidates(submissions: DataFrame, buckets: DataFrame) -> DataFrame:
     """Submissions of the venue with every bucket they match (`bucket`, `ord`, `is_reject`).
 
-    `submissions` needs venue_id, forum, venue, venueid. Both keys of a submission meet the buckets in one join.
+    `submissions` needs venue_id, forum, venue, venueid. Both keys of a submission meet the buckets in one join. A venue
+    has few buckets: they are written first, so that their size is known when the join is planned, and submissions need
+    not meet at the keys of their buckets.
     """
     keys = F.array(
         F.struct(F.lit(False).alias("by_id"), F.col("venue").alias("route_key")),
@@ -62,7 +64,7 @@ def bucket_candidates(submissions: DataFrame, buckets: DataFrame) -> DataFrame:
     # a NULL array gives no rows: unlike a filter, this is not pushed below the parsing of the content
     own = F.when(in_venue(F.col("venueid"), F.col("venue_id")), keys)
     keyed = submissions.select("*", F.inline(own)).alias("s")
-    routes = _routes(buckets).alias("b")
+    routes = stage(_routes(buckets), "routes").alias("b")
     on = (
         (F.col("s.venue_id") == F.col("b.route_venue")) & (F.col("s.by_id") == F.col("b.by_id"))
         & (F.col("s.route_key") == F.col("b.route_key"))
@@ -85,6 +87,7 @@ def top_n_per_bucket(candidates: DataFrame, n: int) -> DataFrame:
     keys, columns = ["venue_id", "ord"], candidates.columns
     rows = stage(candidates, "candidates")
     ends = rows.groupBy(*keys).agg(F.min("number").cast("double").alias("_lo"), F.max("number").cast("double").alias("_hi"))
+    ends = stage(ends, "ends")  # as large as the buckets, and known to be when it is joined
     placed = lambda table: rows.join(table, keys).withColumn("_bin", _bin(F.col("number"), F.col("_lo"), F.col("_hi")))
     counts = placed(ends).groupBy(*keys, "_lo", "_hi", "_bin").agg(F.count(F.lit(1)).alias("_rows"))
     # the counts are added up in order until they reach n; a bucket of fewer rows is taken whole
