@@ -9,6 +9,7 @@ from threadtables.operators import discovery as D
 from threadtables.operators import papers as P
 from threadtables.operators import reshape as R
 from threadtables.plans import papers as plan
+from threadtables.streaming.tables import last_copies
 
 SITE = "https://site.example"
 OPTS = plan.Options(site=SITE)
@@ -196,3 +197,27 @@ def test_top_n_with_ties_gaps_and_missing_numbers(spark):
         found = B.top_n_per_bucket(df, n)
         assert found.columns == df.columns and sorted(map(tuple, found.collect()), key=str) == sorted(first, key=str)
     assert B.top_n_per_bucket(df.limit(0), 3).count() == 0
+
+
+def test_unique_notes_are_left_in_place(spark):
+    rows = notes_df(spark, [root("f", 1), note("f", "r", "Reviewer_a", 1), note("f", None, "Reviewer_b", 2), note("f", None, "Reviewer_b", 2)])
+    once = plan.last_copies(rows)
+    assert once.count() == 4 and "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    # only the copies of `r` are gathered; notes without id stay
+    twice = plan.last_copies(rows.unionByName(notes_df(spark, [note("f", "r", "Reviewer_c", 9)])))
+    assert sorted((r["id"] or "", r["seq"]) for r in twice.collect()) == [("", 2), ("", 2), ("f", -1), ("r", 9)]
+
+
+def test_streamed_copies_take_null_keys_as_one(spark):
+    rows = spark.createDataFrame([(None, 1, "x"), (None, 2, "y"), ("a", 1, "z"), ("b", 3, "u"), ("b", 2, "v")], "k string, n int, t string")
+    assert sorted((r["k"] or "", r["n"], r["t"]) for r in last_copies(rows, ["k"], ["n"]).collect()) == [("", 2, "y"), ("a", 1, "z"), ("b", 3, "u")]
+    assert "Exchange" not in last_copies(rows.where("k = 'a'"), ["k"], ["n"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_submissions_do_not_meet_at_their_buckets(spark):
+    subs = notes_df(spark, [root(f"s{i}", i, venue="Main Poster") for i in range(300)]).repartition(4)
+    buckets = buckets_df(spark, HEADINGS).repartition(3)
+    found = B.bucket_candidates(P.submissions(subs, SITE), buckets)
+    assert "hashpartitioning(route_key" not in found._jdf.queryExecution().executedPlan().toString().replace("venue_id, ", "")
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert B.top_n_per_bucket(found, 7).count() == 7
