@@ -371,3 +371,14 @@ def test_parity_sketches_never_part_similar_lines(spark):
         passed = set(map(tuple, passed))
         similar = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])}
         assert similar and similar <= passed and len(passed) < 3 * len(similar) + 200
+
+
+def test_a_pair_unlike_the_ends_of_its_band(spark):
+    """Four signatures in one band: the two in the middle agree, the smallest and the largest agree with nobody."""
+    rng = random.Random(4)
+    size = ngram_join.BANDS * ngram_join.ROWS
+    sketch = [bytes(rng.randrange(256) for _ in range(size)) for _ in range(3)]
+    middle = sketch[1][:100] + sketch[0][100:]
+    rows = [(1, [7], sketch[0]), (2, [7], sketch[1]), (3, [7], middle), (4, [7], sketch[2])]
+    held = spark.createDataFrame([(d, b, bytearray(s)) for d, b, s in rows], "doc_id long, bands array<long>, sketch binary")
+    assert [(r["a"], r["b"]) for r in ngram_join._near_pairs(held).collect()] in ([(2, 3)], [(3, 2)])

@@ -21,6 +21,11 @@ BANDS, ROWS = 30, 4
 _FACTORS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 #: Of the signature's values, so many agree at least in all but one of 10^10 pairs at similarity 0.8.
 AGREE = 66
+#: Members of a band whose signature agrees so far with that of a pivot stand for nothing else: what is near them is near
+#: enough to the pivot, since the values that differ are a distance.
+TIGHT = 110
+#: Members of a band that are compared with each other in one go; larger bands are dealt into pairs of such parts.
+PART = 512
 
 
 def shingle_sets(texts: pa.Array, n: int = 5) -> Iterator[np.ndarray]:
@@ -75,16 +80,66 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         prints, "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, sketch binary")
 
 
-def _alike(pairs: DataFrame) -> DataFrame:
-    def keep(batches):
+def _agreeing(rows: DataFrame) -> DataFrame:
+    """Rows (band, a, b, sa, sb) as (band, a, b, agree): how many values of two signatures agree."""
+    def count(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS) for i in (2, 3))
-            near = pa.array((one == two).sum(axis=1) >= AGREE)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], names=["a", "b"])
+            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS) for i in (3, 4))
+            agree = pa.array((one == two).sum(axis=1), pa.int32())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), agree], names=["band", "a", "b", "agree"])
 
-    return pairs.mapInArrow(keep, "a long, b long")
+    return rows.select("band", "a", "b", "sa", "sb").mapInArrow(count, "band long, a long, b long, agree int")
+
+
+def _near_pairs(held: DataFrame) -> DataFrame:
+    """Pairs (a, b) that connect all documents (doc_id, bands, sketch) which share a band and agree in AGREE values.
+
+    Each member of a band is compared with the smallest and the largest one. Who agrees with such a pivot in TIGHT values
+    is done: its partners agree with the pivot in AGREE less the values it differs by, and are paired with the pivot. All
+    others of a band are compared with each other, in pairs of parts of some PART members; so copies cost one comparison
+    each, and no pair is left out because neither is like the pivots.
+    """
+    loose = AGREE - (BANDS * ROWS - TIGHT)
+    banded = held.select("doc_id", "sketch", F.explode("bands").alias("band")).dropDuplicates(["band", "doc_id", "sketch"])
+    ends = banded.groupBy("band").agg(F.min(F.struct("doc_id", "sketch")).alias("lo"), F.max(F.struct("doc_id", "sketch")).alias("hi")).where("lo.doc_id < hi.doc_id")
+    pivots = banded.join(ends, "band").select("band", F.col("doc_id").alias("a"), F.col("sketch").alias("sa"), F.explode(F.array("lo", "hi")).alias("p"))
+    seen = stage(_agreeing(pivots.select("band", "a", "sa", F.col("p.doc_id").alias("b"), F.col("p.sketch").alias("sb"))), "band-pivots")
+    # a doc_id that repeats with other texts has more than two rows here and stays open
+    open_ = seen.groupBy("band", F.col("a").alias("doc_id")).agg(F.max("agree").alias("agree"), F.count(F.lit(1)).alias("n"))
+    open_ = open_.where((F.col("agree") < TIGHT) | (F.col("n") > 2)).select("band", "doc_id")
+    rest = stage(open_.join(banded, ["band", "doc_id"]).select("band", "doc_id", "sketch"), "band-rest")
+    parts = rest.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    dealt = rest.join(parts, "band").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    dealt = dealt.withColumns({"one": F.least("part", "other"), "two": F.greatest("part", "other")})
+
+    def links(batches):
+        key, ids, sketches = None, [], []
+
+        def done():
+            s = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, BANDS * ROWS)
+            docs, found = np.array(ids, np.int64), []
+            for i in range(len(s) - 1):
+                near = i + 1 + np.flatnonzero((s[i + 1:] == s[i]).sum(axis=1) >= AGREE)
+                found += [(docs[i], d) for d in docs[near]]
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            for *k, doc, sketch in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if k != key and ids:
+                    yield done()
+                    ids, sketches = [], []
+                key = k
+                ids.append(doc)
+                sketches.append(sketch)
+        if ids:
+            yield done()
+
+    keys = ["band", "one", "two"]
+    among = dealt.select(*keys, "doc_id", "sketch").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(links, "a long, b long")
+    return seen.where((F.col("agree") >= loose) & (F.col("a") != F.col("b"))).select("a", "b").unionByName(among.where("a <> b"))
 
 
 def t_occurrence_links(sets: list[np.ndarray], percent: int = 80) -> np.ndarray:
@@ -174,8 +229,8 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id: groups of documents whose sets of 5-word shingles overlap by `percent`.
 
     1. One pass fingerprints every set; equal sets become one class, kept by its smallest doc_id.
-    2. Classes that share a band of their signatures, and most of the signature, fall into one block. Bands are joined
-       with their smallest and largest member only, so a bucket of n classes makes fewer than 2n pairs.
+    2. Classes that share a band of their signatures, and most of the signature, fall into one block (_near_pairs). A
+       band of n near copies makes some 2n pairs; only members unlike its pivots are compared with each other.
     3. In each block T-occurrence search finds every link by exact counts. A block beyond TILE shingles is dealt into
        tiles that share its first part; if its documents are then not all in one group, those outside the largest group
        are searched against the whole block, tile by tile.
@@ -189,13 +244,7 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     classes = stage(classes, "classes")
     reps = classes.select(F.col("rep").alias("doc_id"), *kinds)
     held = stage(prints.join(reps, ["doc_id", *kinds], "left_semi").select("doc_id", "n_shingles", "bands", "sketch"), "class-prints")
-    banded = held.select("doc_id", F.explode("bands").alias("band"))
-    ends = banded.groupBy("band").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    pairs = banded.join(ends, "band").select("doc_id", F.explode(F.array("lo", "hi")).alias("other")).where("doc_id <> other")
-    pairs = pairs.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
-    side = lambda x: held.select(F.col("doc_id").alias(x), F.col("sketch").alias(f"s{x}"))
-    near = _alike(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb"))
-    blocks = connected(near)
+    blocks = connected(_near_pairs(held))
     blocks = blocks.unionByName(blocks.select(F.col("root").alias("node"), "root").distinct())
     members = held.select(F.col("doc_id").alias("node"), "n_shingles").distinct().join(blocks, "node")
     members = stage(members.groupBy("node", F.col("root").alias("block")).agg(F.sum("n_shingles").alias("n")), "members")
