@@ -130,3 +130,15 @@ def test_empty_lines_and_empty_files(spark, tmp_path):
     assert [tuple(r) for r in readers.read_text_csv(spark, str(tmp_path / "two.csv")).collect()] == [("x", "")]
     assert readers.read_text_csv(spark, str(tmp_path / "none.csv")).columns == ["h", "i"]
     assert readers.read_text_csv(spark, str(tmp_path / "none.csv")).count() == 0
+
+
+def test_csv_files_stay_small_enough_for_one_task_each(spark, tmp_path, monkeypatch):
+    """What one task wrote is read by several: a file ends after so many rows, or cells of a wide table."""
+    monkeypatch.setattr(writers, "CSV_ROWS", 7)
+    df = spark.range(0, 20, 1, 1).selectExpr("cast(id as string) as a", "concat('\"x\"\n', id) as b")
+    writers.write_csv(df, str(tmp_path / "rows"))
+    assert len(list((tmp_path / "rows").glob("*.csv"))) == 3
+    assert sorted(map(tuple, readers.read_text_csv(spark, str(tmp_path / "rows")).collect())) == sorted(map(tuple, df.collect()))
+    monkeypatch.setattr(writers, "CSV_CELLS", 10)
+    writers.write_csv(df, str(tmp_path / "cells"))
+    assert len(list((tmp_path / "cells").glob("*.csv"))) == 4
