@@ -61,3 +61,12 @@ def test_broken_content_is_empty(spark):
     rows = df.select(C.parse(F.col("content")).alias("p")).select(
         C.content_value(p, "a", "-"), C.truthy(p, "a"), C.has_key(p, "a"), C.any_truthy(p, ["a", "b"]))
     assert [tuple(r) for r in rows.collect()] == [("-", False, False, False)] * 4
+
+
+def test_entries_are_made_on_demand(spark):
+    """A step that asks only for keys makes no text of a value; asked for, the entry is that of the whole map."""
+    keys = [*CONTENT, "missing"]
+    whole, asked = _value(spark, lambda p: F.struct(C.entries(p), F.array(*[C.entry(p, k) for k in keys])))
+    assert dict(zip(keys, asked)) == whole | {"missing": None}
+    df = spark.createDataFrame([("{}",)], "content string").select(C.has_key(C.parse(F.col("content")), "a"))
+    assert "schemaofvariant" not in df._jdf.queryExecution().toString().lower()
