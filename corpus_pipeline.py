@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from driver.session import give_work_dir
 from threadtables.llm import decontamination, line_dedup, ngram_join, packing, toxicity
-from threadtables.session import stage
+from threadtables.session import scratch, stage
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -73,9 +73,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of `sf_dir`; each but the last is written and read again."""
+    """All stages over the documents of `sf_dir`; each but the last is written and read again, and what it staged on the
+    way is emptied then."""
     give_work_dir(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark):
+            docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"), keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)

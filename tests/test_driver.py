@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from driver import queries as catalog
+from threadtables.session import scratch, stage
 
 duckdb = pytest.importorskip("duckdb")
 DATA = "/root/testdata/sf0.001"
@@ -44,3 +45,14 @@ def test_query_matches_sql(spark, tables, name):
 
 def test_flagship_query(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_scratch_leaves_what_is_kept_to_the_one_around_it(spark):
+    path = lambda table: table.inputFiles()[0].rsplit("/", 1)[0]
+    columns = lambda *paths: [spark.read.parquet(p).columns for p in paths]
+    with scratch(spark):
+        with scratch(spark):
+            inner, kept = path(stage(spark.range(3), "inner")), path(stage(spark.range(3), "kept", keep=True))
+        assert columns(inner, kept) == [["empty"], ["id"]]
+        free = stage(spark.range(3), "free", keep=True)
+    assert columns(kept, path(free)) == [["empty"], ["id"]]

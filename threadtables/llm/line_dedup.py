@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from threadtables.llm.components import connected
 from threadtables.llm.ranks import group_slots
-from threadtables.session import stage
+from threadtables.session import scratch, stage
 
 #: Characters of a shingle.
 SHINGLE = 8
@@ -138,16 +138,17 @@ def similar_lines(lines: DataFrame, percent: int = 80) -> DataFrame:
     A line that was linked stays a probe for the rest. A band is left once the lines not yet probed are in one
     component, so in the end every pair of each band was compared or is connected.
     """
-    signed = stage(_signed(lines), "signatures")
     sketch = [*(f"w{w}" for w in range(WORDS)), "size", *(f"x{x}" for x in range(PARITIES))]
-    bands = signed.select("line_id", F.explode("bands").alias("band"))
-    shared = stage(bands.join(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "band"), "shared-bands")
-    order = shared.groupBy("line_id").agg((-F.sum("n")).alias("order"))
-    near_lines = stage(lines.join(order, "line_id", "left_semi"), "near-lines")  # only lines that share a band are ever compared
-    sketches = stage(signed.drop("bands").join(_parities(near_lines), "line_id"), "sketches")
-    ranked = group_slots(shared.select("band", "line_id").join(order, "line_id"), ["band"], ["order", "line_id"], "rank")
     columns = ["band", "line_id", "rank", *sketch]
-    active = stage(ranked.join(sketches, "line_id").select(*columns, F.col("line_id").alias("root")), "bands")
+    with scratch(lines.sparkSession):
+        signed = stage(_signed(lines), "signatures")
+        bands = signed.select("line_id", F.explode("bands").alias("band"))
+        shared = stage(bands.join(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "band"), "shared-bands")
+        order = shared.groupBy("line_id").agg((-F.sum("n")).alias("order"))
+        near_lines = stage(lines.join(order, "line_id", "left_semi"), "near-lines", keep=True)  # only lines that share a band are ever compared
+        sketches = stage(signed.drop("bands").join(_parities(near_lines), "line_id"), "sketches")
+        ranked = group_slots(shared.select("band", "line_id").join(order, "line_id"), ["band"], ["order", "line_id"], "rank")
+        active = stage(ranked.join(sketches, "line_id").select(*columns, F.col("line_id").alias("root")), "bands", keep=True)
     links = active.select(F.col("line_id").alias("a"), F.col("root").alias("b")).limit(0)
     compared, probed = None, 1
     while not active.isEmpty():
@@ -184,12 +185,13 @@ def dedup_texts(docs: DataFrame, percent: int = 80) -> DataFrame:
     """`dedup_lines` with crc, the print of the row as it was."""
     lines = _lines(docs)
     kinds = lines.groupBy("h1", "h2", "line").agg(F.count("*").alias("n")).withColumn("line_id", F.monotonically_increasing_id())
-    kinds = stage(kinds, "lines")
-    roots = connected(similar_lines(kinds.select("line_id", "line"), percent))
-    grouped = roots.select(F.col("node").alias("line_id"), "root").unionByName(roots.select(F.col("root").alias("line_id"), "root").distinct())
-    marked = kinds.select("h1", "h2", "n", "line_id").join(grouped, "line_id", "left").where("root is not null or n > 1")
-    marked = marked.select("h1", "h2", F.coalesce("root", "line_id").alias("line_group"))
-    places = stage(lines.drop("line").join(marked, ["h1", "h2"]).select("id", "crc", "pos", "line_group"), "line-places")
+    with scratch(docs.sparkSession):
+        kinds = stage(kinds, "lines")
+        roots = connected(similar_lines(kinds.select("line_id", "line"), percent))
+        grouped = roots.select(F.col("node").alias("line_id"), "root").unionByName(roots.select(F.col("root").alias("line_id"), "root").distinct())
+        marked = kinds.select("h1", "h2", "n", "line_id").join(grouped, "line_id", "left").where("root is not null or n > 1")
+        marked = marked.select("h1", "h2", F.coalesce("root", "line_id").alias("line_group"))
+        places = stage(lines.drop("line").join(marked, ["h1", "h2"]).select("id", "crc", "pos", "line_group"), "line-places", keep=True)
     first = places.groupBy("line_group").agg(F.min(F.struct("id", "crc", "pos")).alias("kept"))
     gone = places.join(first, "line_group").where("not (id = kept.id and crc = kept.crc and pos = kept.pos)")
     gone = gone.groupBy("id", "crc").agg(F.collect_set("pos").alias("gone"))
