@@ -8,7 +8,7 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from threadtables.llm import components, line_dedup, ngram_join, repeats
+from threadtables.llm import components, line_dedup, ngram_join, prefilter, repeats
 
 WORDS = [a + b for a in "ka lo mi tu ne sor vin dal".split() for b in "ra pe shi gon tek um".split()]
 SCHEMA = "doc_id long, text string, id long, crc string, block string, n int"
@@ -382,3 +382,52 @@ def test_a_pair_unlike_the_ends_of_its_band(spark):
     rows = [(1, [7], sketch[0]), (2, [7], sketch[1]), (3, [7], middle), (4, [7], sketch[2])]
     held = spark.createDataFrame([(d, b, bytearray(s)) for d, b, s in rows], "doc_id long, bands array<long>, sketch binary")
     assert [(r["a"], r["b"]) for r in ngram_join._near_pairs(held).collect()] in ([(2, 3)], [(3, 2)])
+
+
+def staged(monkeypatch, module):
+    """name: (columns, rows) of the tables that `module` stages from now on."""
+    seen, own = {}, module.stage
+
+    def spy(df, name, *rest, **more):
+        out = own(df, name, *rest, **more)
+        seen.setdefault(name, []).append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(module, "stage", spy)
+    return seen
+
+
+def lonely_and_near(n=300):
+    """Documents unlike each other, and two near copies, each with its id."""
+    rng = random.Random(6)
+    texts = [" ".join(words(rng, 40)) for _ in range(n)]
+    texts.append(texts[7] + " kara1")
+    return list(enumerate(texts))
+
+
+def test_bands_travel_without_signatures(spark, monkeypatch):
+    seen = staged(monkeypatch, ngram_join)
+    docs = spark.createDataFrame(lonely_and_near(), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in ngram_join.similar_documents(docs).collect()}
+    assert found == {i: 7 if i == 300 else i for i in range(301)}
+    assert not [name for name, tables in seen.items() for columns, _ in tables if {"band", "sketch"} <= set(columns)]
+    assert [rows for _, rows in seen["sketches"]] == [2]  # only members of a band that others share meet signatures
+
+
+def test_a_repeated_id_with_several_signatures_stays_open(spark):
+    """Id 2 stands in one band with two signatures; its second one alone is like that of 3, and neither is like a pivot."""
+    rng = random.Random(5)
+    size = ngram_join.BANDS * ngram_join.ROWS
+    sketch = [bytes(rng.randrange(256) for _ in range(size)) for _ in range(4)]
+    rows = [(1, [7], sketch[0]), (2, [7], sketch[1]), (2, [7], sketch[2]), (2, [7], sketch[2]), (3, [7], sketch[2]), (4, [7], sketch[3])]
+    held = spark.createDataFrame([(d, b, bytearray(s)) for d, b, s in rows], "doc_id long, bands array<long>, sketch binary")
+    assert {tuple(sorted(r)) for r in ngram_join._near_pairs(held).collect()} == {(2, 3)}
+
+
+def test_prefilter_loses_no_wanted_row(spark):
+    rows = spark.range(200_000).select((F.col("id") * 7919 - 10**9).alias("key"), F.col("id").alias("n"))
+    wanted = rows.where("n % 1000 = 0")
+    left = prefilter.likely(rows, "key", wanted.unionByName(wanted))
+    assert left.columns == ["key", "n"]
+    assert left.join(wanted, "key", "left_semi").count() == 200 and left.count() < 400
+    assert prefilter.likely(rows, "key", wanted.limit(0)).isEmpty()

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from threadtables.llm.components import connected
+from threadtables.llm.prefilter import likely
 from threadtables.llm.textbytes import as_long, chunks, flags, grams, mix
 from threadtables.session import stage
 
@@ -81,16 +82,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def _agreeing(rows: DataFrame) -> DataFrame:
-    """Rows (band, a, b, sa, sb) as (band, a, b, agree): how many values of two signatures agree."""
+    """Rows (a, b, sa, sb) as (a, b, agree): how many values of two signatures agree."""
     def count(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS) for i in (3, 4))
+            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS) for i in (2, 3))
             agree = pa.array((one == two).sum(axis=1), pa.int32())
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), agree], names=["band", "a", "b", "agree"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), agree], names=["a", "b", "agree"])
 
-    return rows.select("band", "a", "b", "sa", "sb").mapInArrow(count, "band long, a long, b long, agree int")
+    return rows.select("a", "b", "sa", "sb").mapInArrow(count, "a long, b long, agree int")
 
 
 def _near_pairs(held: DataFrame) -> DataFrame:
@@ -100,20 +101,30 @@ def _near_pairs(held: DataFrame) -> DataFrame:
     is done: its partners agree with the pivot in AGREE less the values it differs by, and are paired with the pivot. All
     others of a band are compared with each other, in pairs of parts of some PART members; so copies cost one comparison
     each, and no pair is left out because neither is like the pivots.
+
+    Bands are shuffled without signatures, which take 8 times their room: only members of a band that others share meet
+    signatures, a member and a pivot once for all their bands.
     """
     loose = AGREE - (BANDS * ROWS - TIGHT)
-    banded = held.select("doc_id", "sketch", F.explode("bands").alias("band")).dropDuplicates(["band", "doc_id", "sketch"])
-    ends = banded.groupBy("band").agg(F.min(F.struct("doc_id", "sketch")).alias("lo"), F.max(F.struct("doc_id", "sketch")).alias("hi")).where("lo.doc_id < hi.doc_id")
-    pivots = banded.join(ends, "band").select("band", F.col("doc_id").alias("a"), F.col("sketch").alias("sa"), F.explode(F.array("lo", "hi")).alias("p"))
-    seen = stage(_agreeing(pivots.select("band", "a", "sa", F.col("p.doc_id").alias("b"), F.col("p.sketch").alias("sb"))), "band-pivots")
-    # a doc_id that repeats with other texts has more than two rows here and stays open
-    open_ = seen.groupBy("band", F.col("a").alias("doc_id")).agg(F.max("agree").alias("agree"), F.count(F.lit(1)).alias("n"))
-    open_ = open_.where((F.col("agree") < TIGHT) | (F.col("n") > 2)).select("band", "doc_id")
-    rest = stage(open_.join(banded, ["band", "doc_id"]).select("band", "doc_id", "sketch"), "band-rest")
+    banded = held.select("doc_id", F.explode("bands").alias("band"))
+    ends = banded.groupBy("band").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+    banded = stage(banded.join(ends, "band").distinct(), "shared-bands")
+    sketches = stage(likely(held.select("doc_id", "sketch"), "doc_id", banded).distinct(), "sketches")
+    side = lambda x, to: sketches.select(F.col("doc_id").alias(x), F.col("sketch").alias(to))
+    pairs = banded.select(F.col("doc_id").alias("a"), F.explode(F.array("lo", "hi")).alias("b")).where("a <> b").distinct()
+    seen = stage(_agreeing(pairs.join(side("a", "sa"), "a").join(side("b", "sb"), "b")), "band-pivots")
+    tight = seen.where(F.col("agree") >= TIGHT).groupBy(F.col("a").alias("doc_id")).agg(F.collect_set("b").alias("near"))
+    # a doc_id that repeats with other texts has several signatures and stays open
+    prints = sketches.groupBy("doc_id").agg(F.min(F.xxhash64("sketch")).alias("p"), F.max(F.xxhash64("sketch")).alias("q"))
+    several = prints.where("p <> q").select("doc_id", F.lit(True).alias("several"))
+    members = banded.join(tight, "doc_id", "left").join(several, "doc_id", "left")
+    done = "doc_id = lo or doc_id = hi or array_contains(near, lo) or array_contains(near, hi)"
+    rest = stage(members.where(f"several or not coalesce({done}, false)").select("band", "doc_id"), "band-rest")
     parts = rest.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     dealt = rest.join(parts, "band").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
     dealt = dealt.withColumns({"one": F.least("part", "other"), "two": F.greatest("part", "other")})
+    dealt = dealt.select("band", "one", "two", "doc_id").join(sketches, "doc_id")
 
     def links(batches):
         key, ids, sketches = None, [], []
@@ -249,7 +260,7 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     members = held.select(F.col("doc_id").alias("node"), "n_shingles").distinct().join(blocks, "node")
     members = stage(members.groupBy("node", F.col("root").alias("block")).agg(F.sum("n_shingles").alias("n")), "members")
     tiles = stage(members.groupBy("block").agg(F.ceil(F.sum("n") / TILE).alias("tiles")), "tiles")
-    texts = docs.join(reps.select("doc_id").distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "node")
+    texts = likely(docs.withColumnRenamed("doc_id", "node"), "node", members)
     placed = members.join(tiles, "block").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("tiles")))
     first = placed.withColumn("tile", F.explode(F.expr("case when tiles > 1 and salt = 0 then sequence(1L, tiles - 1) else array(salt) end")))
     links = stage(_search(_with_text(first, texts), percent), "links")
