@@ -8,7 +8,7 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from threadtables.llm import components, line_dedup, ngram_join, prefilter, repeats
+from threadtables.llm import circulant, components, line_dedup, ngram_join, prefilter, repeats
 
 WORDS = [a + b for a in "ka lo mi tu ne sor vin dal".split() for b in "ra pe shi gon tek um".split()]
 SCHEMA = "doc_id long, text string, id long, crc string, block string, n int"
@@ -414,6 +414,15 @@ def test_bands_travel_without_signatures(spark, monkeypatch):
     assert [rows for _, rows in seen["sketches"]] == [2]  # only members of a band that others share meet signatures
 
 
+def test_only_texts_to_be_compared_are_moved_and_once(spark, monkeypatch):
+    seen = staged(monkeypatch, circulant)
+    docs = spark.createDataFrame(lonely_and_near(), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in circulant.near_duplicates(docs).collect()}
+    assert found == {i: 7 if i == 300 else i for i in range(301)}
+    members, texts = seen["circulant-members"][0][1], seen["circulant-texts"]
+    assert [rows for _, rows in texts] == [members] and members < 100
+
+
 def test_a_repeated_id_with_several_signatures_stays_open(spark):
     """Id 2 stands in one band with two signatures; its second one alone is like that of 3, and neither is like a pivot."""
     rng = random.Random(5)

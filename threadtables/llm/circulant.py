@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from threadtables.llm.components import connected
 from threadtables.llm.ngram_join import shingle_sets
+from threadtables.llm.prefilter import likely
 from threadtables.llm.textbytes import as_long, mix
 from threadtables.session import stage
 
@@ -294,7 +295,8 @@ def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80) -> DataFrame
     banded = stage(banded.join(ends, "band"), "circulant-buckets")
     held = stage(classes.join(banded.select("node").distinct(), "node", "left_semi").drop("bands", "f1", "f2"), "circulant-members")
     sizes, sketches = held.select("node", "n_shingles"), held.select("node", "sketch")
-    texts = docs.join(held.select("doc_id", "print", "node"), ["doc_id", "print"]).select("node", "text").dropDuplicates(["node"])
+    texts = likely(docs, "print", held).join(held.select("doc_id", "print", "node"), ["doc_id", "print"]).select("node", "text")
+    texts = stage(texts.dropDuplicates(["node"]), "circulant-texts")
     pairs = banded.select(F.col("node").alias("member"), F.explode(F.array("lo", "hi")).alias("center")).where("member <> center").distinct()
     side = lambda x, to: sketches.select(F.col("node").alias(x), F.col("sketch").alias(to))
     near = stage(_alike(pairs.join(side("member", "sm"), "member").join(side("center", "sc"), "center"), agreeing(percent)), "circulant-pairs")
