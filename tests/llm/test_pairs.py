@@ -384,6 +384,18 @@ def test_a_pair_unlike_the_ends_of_its_band(spark):
     assert [(r["a"], r["b"]) for r in ngram_join._near_pairs(held).collect()] in ([(2, 3)], [(3, 2)])
 
 
+def test_a_band_of_near_copies_gives_few_pairs(spark):
+    """200 signatures alike each other between two ends they are unlike: they are connected by fewer pairs than members."""
+    rng = random.Random(8)
+    size = ngram_join.BANDS * ngram_join.ROWS
+    low, middle, high = (bytes(rng.randrange(256) for _ in range(size)) for _ in range(3))
+    rows = [(0, [7], low), *((i, [7], middle[:i % 7] + low[i % 7:i % 7 + 3] + middle[i % 7 + 3:]) for i in range(1, 201)), (201, [7], high)]
+    held = spark.createDataFrame([(d, b, bytearray(s)) for d, b, s in rows], "doc_id long, bands array<long>, sketch binary")
+    pairs = ngram_join._near_pairs(held)
+    assert pairs.count() == 199
+    assert {(r["node"], r["root"]) for r in components.connected(pairs).collect()} == {(i, 1) for i in range(2, 201)}
+
+
 def staged(monkeypatch, module):
     """name: (columns, rows) of the tables that `module` stages from now on."""
     seen, own = {}, module.stage

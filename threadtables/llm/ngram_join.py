@@ -100,7 +100,8 @@ def _near_pairs(held: DataFrame) -> DataFrame:
     Each member of a band is compared with the smallest and the largest one. Who agrees with such a pivot in TIGHT values
     is done: its partners agree with the pivot in AGREE less the values it differs by, and are paired with the pivot. All
     others of a band are compared with each other, in pairs of parts of some PART members; so copies cost one comparison
-    each, and no pair is left out because neither is like the pivots.
+    each, and no pair is left out because neither is like the pivots. Of each such comparison only pairs that connect what
+    is not yet connected are given, fewer than it has members.
 
     Bands are shuffled without signatures, which take 8 times their room: only members of a band that others share meet
     signatures, a member and a pivot once for all their bands.
@@ -131,10 +132,13 @@ def _near_pairs(held: DataFrame) -> DataFrame:
 
         def done():
             s = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, BANDS * ROWS)
-            docs, found = np.array(ids, np.int64), []
+            docs, found, label = np.array(ids, np.int64), [], np.arange(len(s))
             for i in range(len(s) - 1):
-                near = i + 1 + np.flatnonzero((s[i + 1:] == s[i]).sum(axis=1) >= AGREE)
-                found += [(docs[i], d) for d in docs[near]]
+                apart = i + 1 + np.flatnonzero(label[i + 1:] != label[i])
+                near = apart[(s[apart] == s[i]).sum(axis=1) >= AGREE]
+                groups, first = np.unique(label[near], return_index=True)
+                found += [(docs[i], d) for d in docs[near[first]]]
+                label[np.isin(label, groups)] = label[i]
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
         for batch in batches:
