@@ -1,6 +1,7 @@
 """Joins, line dedup and repeated passages against plain Python."""
 
 import hashlib
+import os
 import random
 import re
 from collections import defaultdict
@@ -445,6 +446,39 @@ def test_a_repeated_id_with_several_signatures_stays_open(spark):
     assert {tuple(sorted(r)) for r in ngram_join._near_pairs(held).collect()} == {(2, 3)}
 
 
+def test_line_dedup_leaves_no_texts_behind(spark, monkeypatch):
+    """The staged lines and signatures are written by zstd and emptied as soon as nothing reads them any more."""
+    folders, own = {}, line_dedup.stage
+
+    def spy(df, name, *rest, **more):
+        out = own(df, name, *rest, **more)
+        if files := out.inputFiles():
+            assert all(f.endswith(".zstd.parquet") for f in files)
+            folders[name] = os.path.dirname(files[0])
+        return out
+
+    monkeypatch.setattr(line_dedup, "stage", spy)
+    rows = spark.createDataFrame(lonely_and_near(), "doc_id long, text string")
+    found = line_dedup.dedup_lines(rows).where("n_removed > 0")
+    assert [r["doc_id"] for r in found.collect()] == [300]
+    left = {name: spark.read.parquet(folder).count() for name, folder in folders.items()}
+    assert left["lines"] == left["signatures"] == 0 and left["near-lines"] > 0 and left["line-places"] > 0
+
+
+def test_a_class_that_a_line_lacks_tells_nothing(spark):
+    """Lines of few shingles lack classes; similar ones among them pass the sketches all the same."""
+    texts = [f"{c * 9}{c * k}" for c in "abc" for k in range(3)] + ["abcdefghij", "abcdefghijk", "abcdefghijkl"]
+    lines = spark.createDataFrame(list(enumerate(texts)), "line_id long, line string")
+    signed = line_dedup._signed(lines)
+    assert signed.groupBy("line_id").count().where("count = 1").count() >= 9
+    words = line_dedup._words(signed)
+    pairs = words.alias("x").join(words.alias("p"), F.expr("x.line_id < p.line_id")).where(line_dedup._differing("x", "p") <= line_dedup.may_differ(80))
+    links = {(r["a"], r["b"]) for r in line_dedup.similar_lines(lines).collect()}
+    assert {(r["node"], r["root"]) for r in components.connected(spark.createDataFrame(links, "a long, b long")).collect()} >= {(3 * c + k, 3 * c) for c in range(3) for k in (1, 2)}
+    passed = {tuple(r) for r in pairs.select("x.line_id", "p.line_id").collect()}
+    assert {(3 * c, 3 * c + k) for c in range(3) for k in (1, 2)} <= passed
+
+
 def test_prefilter_loses_no_wanted_row(spark):
     rows = spark.range(200_000).select((F.col("id") * 7919 - 10**9).alias("key"), F.col("id").alias("n"))
     wanted = rows.where("n % 1000 = 0")

@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadtables.llm.components import connected
 from threadtables.llm.ranks import group_slots
-from threadtables.session import stage
+from threadtables.session import scratch, stage
 
 #: Characters of a shingle.
 SHINGLE = 8
 #: A pair at similarity 0.8 shares one of the bands with odds of about 0.999, at 0.85 of 0.9999.
 BANDS, ROWS = 10, 3
-#: Longs that hold a byte of each value of a signature, 7 in each.
-WORDS = -(-BANDS * ROWS // 7)
+#: Shingles fall into classes by their hash; each class has its own bands, so a shingle is met by few functions only.
+CLASSES = 5
+PER_CLASS = BANDS // CLASSES * ROWS
+#: Longs that hold a byte of each value of a signature, one for each class.
+WORDS = CLASSES
 #: Longs of the parity sketch of a line's shingle set, 64 bits in each.
 PARITIES = 16
 _NO_ID = -(1 << 63)
@@ -27,7 +30,7 @@ _LOW = (1 << 32) - 1
 def _factors() -> list[int]:
     """Odd numbers of 31 bits; a 32-bit value times one of them, modulo 2^32, is an order of its own."""
     state, out = 1, []
-    for _ in range(BANDS * ROWS):
+    for _ in range(PER_CLASS):
         state = (state * 6364136223846793005 + 1442695040888963407) % (1 << 64)
         out.append(state >> 33 | 1)
     return out
@@ -60,14 +63,20 @@ def _shingle(encoded: Column, at: Column) -> Column:
 
 
 def _signed(lines: DataFrame) -> DataFrame:
-    """line_id, bands, w0..: the bands of each line's signature, and a sketch of it. Shingles are hashed and their least values taken as they come."""
+    """line_id, class, bands, w: for each class that a line has shingles of, the bands of their least values, and a sketch
+    of these. Shingles are hashed and their least values taken as they come.
+
+    Within a class values are those of MinHash; over the classes they are drawn without replacement, so the odds are no
+    worse than those of functions that all meet every shingle.
+    """
     # in a step of its own, or each shingle would encode the line anew
     encoded = lines.select("line_id", F.encode("line", "UTF-32").alias("encoded"), _last_start(F.col("line")).alias("last"))
     rows = encoded.select("line_id", "encoded", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("at"))
-    hashed = rows.select("line_id", F.hash(_shingle(F.col("encoded"), F.col("at"))).cast("long").bitwiseAND(F.lit(_LOW)).alias("h"))
-    least = hashed.groupBy("line_id").agg(*(F.min((F.col("h") * F.lit(f)).bitwiseAND(F.lit(_LOW))).alias(f"m{i}") for i, f in enumerate(_factors())))
-    bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
-    return least.select("line_id", bands.alias("bands"), *(_word(w).alias(f"w{w}") for w in range(WORDS)))
+    hashed = rows.select("line_id", F.xxhash64(_shingle(F.col("encoded"), F.col("at"))).alias("x"))
+    hashed = hashed.select("line_id", F.pmod(F.shiftrightunsigned("x", 32), F.lit(CLASSES)).alias("class"), F.col("x").bitwiseAND(F.lit(_LOW)).alias("h"))
+    least = hashed.groupBy("line_id", "class").agg(*(F.min((F.col("h") * F.lit(f)).bitwiseAND(F.lit(_LOW))).alias(f"m{i}") for i, f in enumerate(_factors())))
+    bands = F.array(*(F.xxhash64("class", F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS // CLASSES)))
+    return least.select("line_id", "class", bands.alias("bands"), _word().alias("w"))
 
 
 def _banded(lines: DataFrame) -> DataFrame:
@@ -75,17 +84,22 @@ def _banded(lines: DataFrame) -> DataFrame:
     return _signed(lines).select("line_id", F.explode("bands").alias("band"))
 
 
-def _word(w: int) -> Column:
-    """A byte of each of the signature's next 7 values in one long."""
-    values = range(7 * w, min(7 * w + 7, BANDS * ROWS))
-    return reduce(Column.bitwiseOR, [F.shiftleft(F.col(f"m{i}").bitwiseAND(F.lit(255)), 8 * (i - 7 * w)) for i in values])
+def _word(w: int = 0) -> Column:
+    """A byte of each of the signature's next PER_CLASS values in one long."""
+    return reduce(Column.bitwiseOR, [F.shiftleft(F.col(f"m{w * PER_CLASS + i}").bitwiseAND(F.lit(255)), 8 * i) for i in range(PER_CLASS)])
+
+
+def _words(signed: DataFrame) -> DataFrame:
+    """line_id, w0..: the sketches of a line's classes side by side, null for a class without shingles."""
+    return signed.groupBy("line_id").agg(*(F.max(F.when(F.col("class") == c, F.col("w"))).alias(f"w{c}") for c in range(WORDS)))
 
 
 def _differing(one: str, two: str) -> Column:
-    """In how many values two sketches differ: the bytes of their XOR that are not 0, counted in a few steps for each long."""
-    low, high = F.lit(0x7F7F7F7F7F7F7F), F.lit(0x80808080808080)
+    """In how many values two sketches differ: the bytes of their XOR that are not 0, counted in a few steps for each long.
+    A class that one of them lacks does not count."""
+    low, high = F.lit(0x7F7F7F7F7F7F), F.lit(0x808080808080)
     xors = [F.col(f"{one}.w{w}").bitwiseXOR(F.col(f"{two}.w{w}")) for w in range(WORDS)]
-    return reduce(Column.__add__, [F.bit_count((x.bitwiseAND(low) + low).bitwiseOR(x).bitwiseAND(high)) for x in xors])
+    return reduce(Column.__add__, [F.coalesce(F.bit_count((x.bitwiseAND(low) + low).bitwiseOR(x).bitwiseAND(high)), F.lit(0)) for x in xors])
 
 
 def may_differ(percent: int) -> int:
@@ -138,13 +152,16 @@ def similar_lines(lines: DataFrame, percent: int = 80) -> DataFrame:
     A line that was linked stays a probe for the rest. A band is left once the lines not yet probed are in one
     component, so in the end every pair of each band was compared or is connected.
     """
-    signed = stage(_signed(lines), "signatures")
     sketch = [*(f"w{w}" for w in range(WORDS)), "size", *(f"x{x}" for x in range(PARITIES))]
-    bands = signed.select("line_id", F.explode("bands").alias("band"))
-    shared = stage(bands.join(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "band"), "shared-bands")
-    order = shared.groupBy("line_id").agg((-F.sum("n")).alias("order"))
-    near_lines = stage(lines.join(order, "line_id", "left_semi"), "near-lines")  # only lines that share a band are ever compared
-    sketches = stage(signed.drop("bands").join(_parities(near_lines), "line_id"), "sketches")
+    with scratch(lines.sparkSession, "signatures"):
+        signed = stage(_signed(lines), "signatures")
+        # counted where they are, so that bands are moved once
+        bands = signed.select("line_id", F.explode("bands").alias("band")).withColumn("n", F.count("*").over(Window.partitionBy("band")))
+        shared = stage(bands.where("n > 1"), "shared-bands")
+        order = shared.groupBy("line_id").agg((-F.sum("n")).alias("order"))
+        near_lines = stage(lines.join(order, "line_id", "left_semi"), "near-lines")  # only lines that share a band are ever compared
+        words = _words(signed.select("line_id", "class", "w").join(order, "line_id", "left_semi"))
+        sketches = stage(words.join(_parities(near_lines), "line_id"), "sketches")
     ranked = group_slots(shared.select("band", "line_id").join(order, "line_id"), ["band"], ["order", "line_id"], "rank")
     columns = ["band", "line_id", "rank", *sketch]
     active = stage(ranked.join(sketches, "line_id").select(*columns, F.col("line_id").alias("root")), "bands")
@@ -184,12 +201,13 @@ def dedup_texts(docs: DataFrame, percent: int = 80) -> DataFrame:
     """`dedup_lines` with crc, the print of the row as it was."""
     lines = _lines(docs)
     kinds = lines.groupBy("h1", "h2", "line").agg(F.count("*").alias("n")).withColumn("line_id", F.monotonically_increasing_id())
-    kinds = stage(kinds, "lines")
-    roots = connected(similar_lines(kinds.select("line_id", "line"), percent))
-    grouped = roots.select(F.col("node").alias("line_id"), "root").unionByName(roots.select(F.col("root").alias("line_id"), "root").distinct())
-    marked = kinds.select("h1", "h2", "n", "line_id").join(grouped, "line_id", "left").where("root is not null or n > 1")
-    marked = marked.select("h1", "h2", F.coalesce("root", "line_id").alias("line_group"))
-    places = stage(lines.drop("line").join(marked, ["h1", "h2"]).select("id", "crc", "pos", "line_group"), "line-places")
+    with scratch(docs.sparkSession, "lines"):
+        kinds = stage(kinds, "lines")
+        roots = connected(similar_lines(kinds.select("line_id", "line"), percent))
+        grouped = roots.select(F.col("node").alias("line_id"), "root").unionByName(roots.select(F.col("root").alias("line_id"), "root").distinct())
+        marked = kinds.select("h1", "h2", "n", "line_id").join(grouped, "line_id", "left").where("root is not null or n > 1")
+        marked = marked.select("h1", "h2", F.coalesce("root", "line_id").alias("line_group"))
+        places = stage(lines.drop("line").join(marked, ["h1", "h2"]).select("id", "crc", "pos", "line_group"), "line-places")
     first = places.groupBy("line_group").agg(F.min(F.struct("id", "crc", "pos")).alias("kept"))
     gone = places.join(first, "line_group").where("not (id = kept.id and crc = kept.crc and pos = kept.pos)")
     gone = gone.groupBy("id", "crc").agg(F.collect_set("pos").alias("gone"))
