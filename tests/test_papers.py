@@ -179,6 +179,16 @@ def test_wide_and_back(spark):
     assert R.unpivot_wide(wide.select("link", "title")).count() == 0
 
 
+def test_wide_rows_are_made_of_what_is_asked_for(spark):
+    """Reviews are sorted without a lambda; whoever counts reviews filters no ratings."""
+    papers, reviews = plan.assemble(notes_df(spark, venue_notes()), buckets_df(spark, HEADINGS), OPTS, ["rating"])
+    wide = R.wide_reviews(papers, reviews, ["rating"])
+    plan_of = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort" not in plan_of(wide) and "sort_array" in plan_of(wide)
+    back = R.unpivot_wide(wide)
+    assert "map_filter" in plan_of(back) and "map_filter" not in plan_of(back.groupBy("link").count())
+
+
 def test_firsts(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "type string, n int")
     assert {(r["type"], r["n"]) for r in R.first_per_type(df, ["n"]).collect()} == {("a", 1), ("b", 3)}
