@@ -1,5 +1,6 @@
 import csv
 import json
+import os
 import random
 
 import pytest
@@ -9,7 +10,7 @@ from test_papers import HEADINGS, OPTS, buckets_df, venue_notes
 from threadtables.operators import authors as A
 from threadtables.operators import reshape as R
 from threadtables.plans import papers as plan
-from threadtables.session import fresh_dir
+from threadtables.session import fresh_dir, work_dir
 from threadtables.sources import readers, writers
 
 AWKWARD = [('say "hi", she\nsaid', None, 1), ("", "  é\r\nx ", None), ("x" * 40_000, "\\ back", 3)]
@@ -142,3 +143,28 @@ def test_csv_files_stay_small_enough_for_one_task_each(spark, tmp_path, monkeypa
     monkeypatch.setattr(writers, "CSV_CELLS", 10)
     writers.write_csv(df, str(tmp_path / "cells"))
     assert len(list((tmp_path / "cells").glob("*.csv"))) == 4
+
+
+def test_gzipped_lines_take_less_room_and_read_the_same(spark, tmp_path):
+    papers, reviews = plan.assemble(notes_df(spark, venue_notes()), buckets_df(spark, HEADINGS), OPTS, ["rating"])
+    nested = plan.nested_papers(papers, reviews).coalesce(1)
+    paths = {how: str(tmp_path / how) for how in ("none", "gzip")}
+    for how, path in paths.items():
+        writers.write_nested(nested, path, compression=how)
+    room = {how: sum(f.stat().st_size for f in (tmp_path / how).glob("part-*")) for how in paths}
+    assert room["gzip"] < room["none"] / 2
+    plain, packed = (as_dicts(readers.scan_nested_papers(spark, p).select(*nested.columns), "forum") for p in paths.values())
+    assert plain == packed == as_dicts(nested, "forum")
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "both"])
+def test_bucket_tables_stage_one_table(spark, fmt):
+    """Reviews are gathered once, and a second format is written from the first: no table of either is staged."""
+    papers, reviews = plan.assemble(notes_df(spark, venue_notes()), buckets_df(spark, HEADINGS), OPTS, ["rating"])
+    before, out = set(os.listdir(work_dir(spark))), fresh_dir(spark, "out")
+    writers.write_per_bucket(papers, reviews, ["rating"], VENUE, out, fmt)
+    new = {d.rsplit("-", 1)[0] for d in set(os.listdir(work_dir(spark))) - before}
+    assert new == {"out", "papers-by-bucket"}
+    if fmt == "both":
+        tables = [writers.load_bucket_tables(spark, out, VENUE, f) for f in ("csv", "parquet")]
+        assert as_dicts(tables[0], "link") == as_dicts(tables[1].select(*[f"`{c}`" for c in tables[0].columns]), "link")
