@@ -70,3 +70,21 @@ def test_entries_are_made_on_demand(spark):
     assert dict(zip(keys, asked)) == whole | {"missing": None}
     df = spark.createDataFrame([("{}",)], "content string").select(C.has_key(C.parse(F.col("content")), "a"))
     assert "schemaofvariant" not in df._jdf.queryExecution().toString().lower()
+
+
+def test_shown_values_are_the_content_values(spark):
+    """Several values in one pass, equal to those read one by one."""
+    keys = [*CONTENT, "missing"]
+    one = _value(spark, lambda p: F.array(*[C.content_value(p, k) for k in keys]))
+    lists = _value(spark, lambda p: F.array(*[C.shown_list(C.shown_values(p, keys), k) for k in keys]))
+    assert _value(spark, lambda p: F.array(*[C.shown_text(C.shown_values(p, keys), k) for k in keys])) == one
+    assert {k: x for k, x in zip(keys, lists) if x is not None} == {"list": ["x", "y"], "empty_list": []}
+
+
+def test_blocks_look_only_at_keys_that_are_there(spark):
+    labels = {"plain": "P:", "missing": "M:", "zero": "Z:", "wrapped": "W:", "null": "N:", "int": "I:"}
+    assert _value(spark, lambda p: C.truthy_blocks(p, labels, "|")) == "P:b|W:a|I:3"
+    df = spark.createDataFrame([("bad{",)], "content string").select(C.parse(F.col("content")).alias("p"))
+    found = df.select(C.truthy_blocks(F.col("p"), labels, "|"), C.any_truthy(F.col("p"), []))
+    assert tuple(found.first()) == ("", False)
+    assert "array_intersect" in found._jdf.queryExecution().toString()
